@@ -186,7 +186,7 @@ def q08_upsert_partial(spark, sf_dir):
     )
     target = first.withColumn("statut_paiement", F.lit("PAYE"))
     keys = ["id_salarie", "annee_civile", "moyen_de_deplacement"]
-    return upsert(target, second, keys, ["montant_prime"], {"statut_paiement": "A PAYER"}, unique_source=True)
+    return upsert(target, second, keys, ["montant_prime"], {"statut_paiement": "A PAYER"}, True, full_keys=True)
 
 
 def q09_upsert_replace(spark, sf_dir):
@@ -201,7 +201,8 @@ def q09_upsert_replace(spark, sf_dir):
         )
 
     update = ["nombre_activites_total", "est_eligible"]
-    return upsert(judged(first, 3), judged(second, 2), ["id_salarie", "annee_civile"], update, unique_source=True)
+    keys = ["id_salarie", "annee_civile"]
+    return upsert(judged(first, 3), judged(second, 2), keys, update, unique_source=True, full_keys=True)
 
 
 def q10_upsert_all_columns(spark, sf_dir):
@@ -220,7 +221,7 @@ def q11_key_violations(spark, sf_dir):
 def q27_upsert_accumulate(spark, sf_dir):
     first, second = _halves(spark, sf_dir, F.count("*").alias("nombre_activites_total"))
     update = {"nombre_activites_total": add}
-    return upsert(first, second, ["id_salarie", "annee_civile"], update, unique_source=True)
+    return upsert(first, second, ["id_salarie", "annee_civile"], update, unique_source=True, full_keys=True)
 
 
 def q30_geo_upsert(spark, sf_dir):

@@ -7,21 +7,14 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Sub-keys over which rows without an address are spread.
-_SPREAD = 1024
-
-
 def geocode(df: DataFrame, places: DataFrame, on: str, place_key: str | None = None, take: Iterable[str] | None = None) -> DataFrame:
     """``df`` plus the columns ``take`` of the place whose key equals ``on``; NULL when unknown.
 
     ``places`` holds one row per key. Spark broadcasts it when its measured size is below the
-    session's limit and otherwise shuffles both sides, splitting a much-used address (AQE). Rows
-    without an address match nothing but may be many: a second join key spreads them.
+    session's limit. Beyond it both sides are shuffled, and AQE splits the partition of a much-used
+    or missing address over several tasks, which a left join allows.
     """
     place_key = place_key or on
     take = list(take or [c for c in places.columns if c != place_key])
-    spread = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD)).cast("int")).otherwise(0)
-    known = places.select(F.col(place_key).alias("_place"), F.lit(0).alias("_place_spread"), *take)
-    left = df.withColumn("_spread", spread)
-    match = (F.col(on) == F.col("_place")) & (F.col("_spread") == F.col("_place_spread"))
-    return left.join(known, match, "left").select(*df.columns, *take)
+    known = places.select(F.col(place_key).alias("_place"), *take)
+    return df.join(known, F.col(on) == F.col("_place"), "left").drop("_place")

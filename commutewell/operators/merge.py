@@ -28,23 +28,28 @@ def upsert(
     update: Iterable[str] | Mapping[str, Update] | None = None,
     defaults: Mapping[str, object] | None = None,
     unique_source: bool = False,
+    full_keys: bool = False,
 ) -> DataFrame:
     """``target`` after inserting the rows of ``source`` or updating those with an equal key.
 
     ``update`` names the columns a match takes from the source, or maps them to a rule
-    ``(old, new) -> value``; all others keep the target's value (default: every column of the source
+    ``(old, new) -> value``, which may also use the columns ``old_<name>`` and ``new_<name>``; all others keep the target's value (default: every column of the source
     but the keys is taken). Inserted rows take the source's columns; columns the source lacks get
     ``defaults`` or NULL. Rows with a NULL in a key match nothing and are all kept.
 
     Two source rows with one key are refused: the plan raises when it runs. Say ``unique_source``
     when the source is an aggregate by the same keys; its shuffle then also serves the join.
 
-    Keys are unique on both sides of the join, so no key is hot; rows without a full key never
-    enter it.
+    Keys are unique on both sides of the join, so no key is hot. Rows without a full key would all
+    meet in one task and are led around the join, at the price of a filtered second read. Say
+    ``full_keys`` where they cannot be many: a contract table, an aggregate by the keys.
     """
     keys = list(keys)
     names = target.columns
     defaults = defaults or {}
+    unknown = set(source.columns) - set(names)
+    if unknown:
+        raise ValueError(f"the target has no column {sorted(unknown)}")
     if update is None:
         update = [c for c in names if c in source.columns and c not in keys]
     rules = dict(update) if isinstance(update, Mapping) else dict.fromkeys(update, take_new)
@@ -55,8 +60,9 @@ def upsert(
             return F.col(prefix + name).cast(types[name])
         return F.lit(defaults.get(name)).cast(types[name])
 
-    old = _full_keys(target, keys).select(*[F.col(c).alias(f"old_{c}") for c in names], F.lit(True).alias("old_hit"))
-    new = _full_keys(source, keys)
+    old = target if full_keys else _full_keys(target, keys)
+    old = old.select(*[F.col(c).alias(f"old_{c}") for c in names], F.lit(True).alias("old_hit"))
+    new = source if full_keys else _full_keys(source, keys)
     if unique_source:
         new = new.withColumn("hit", F.lit(True))
     else:
@@ -77,16 +83,11 @@ def upsert(
             kept = F.when(is_new, after).otherwise(before)
         return F.when(is_old, kept).otherwise(inserted(name, "new_")).alias(name)
 
-    parts = [joined.select(*[merged(c) for c in names])]
-    if _may_lack_key(target, keys):
-        parts.append(_partial_keys(target, keys))
-    if _may_lack_key(source, keys):
-        parts.append(_partial_keys(source, keys).select(*[inserted(c).alias(c) for c in names]))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _may_lack_key(df: DataFrame, keys: list[str]) -> bool:
-    return any(df.schema[k].nullable for k in keys)
+    result = joined.select(*[merged(c) for c in names])
+    if full_keys:
+        return result
+    loose = _partial_keys(source, keys).select(*[inserted(c).alias(c) for c in names])
+    return result.unionByName(_partial_keys(target, keys)).unionByName(loose)
 
 
 def _full_keys(df: DataFrame, keys: list[str]) -> DataFrame:

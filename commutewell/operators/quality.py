@@ -120,12 +120,12 @@ def alert_text(people: DataFrame, per_page: int = 500, first: str = "prenom", la
     """
     people = people.select(first, last).distinct()
     total = people.agg(F.count("*").alias("n")).scalar()
-    pages = F.ceil(total / per_page)
     blank = F.lit("")
     digest = F.md5(F.concat(F.coalesce(first, blank), F.lit("|"), F.coalesce(last, blank)))
-    page = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), pages)
+    spread = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    named = people.select(full_name(F.col(first), F.col(last)).alias("name"), spread.alias("spread"), total.alias("n"))
     texts = (
-        people.select(full_name(F.col(first), F.col(last)).alias("name"), page.alias("page"), total.alias("n"))
+        named.withColumn("page", F.pmod("spread", F.ceil(F.col("n") / per_page)))
         .groupBy("page", "n")
         .agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("noms"))
     )

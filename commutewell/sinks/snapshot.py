@@ -112,7 +112,8 @@ class SnapshotTable:
         """Keyed upsert of ``source``; rewrites only the partitions that ``source`` touches.
 
         With ``stream`` and ``batch`` a batch that is already in the table is skipped (False), which
-        makes replays harmless. ``source`` is read twice: persist it when it is costly.
+        makes replays harmless. A row without a full key is refused, as in ``replace``. The source of
+        a partitioned table is read twice: persist it when it is costly.
         """
         state = self._state()
         if stream is not None and state["applied"].get(stream, -1) >= batch:
@@ -121,7 +122,9 @@ class SnapshotTable:
         # One value per partition directory (civil years), so this list stays small.
         touched = None if partition is None else [r[0] for r in source.select(partition).distinct().collect()]
         target = self._read(state["parts"], touched)
-        merged = upsert(target, source, self.contract.keys, update, self.contract.defaults, unique_source)
+        merged = upsert(
+            target, source, self.contract.keys, update, self.contract.defaults, unique_source, full_keys=True
+        )
         version = self._write(merged, state)
         changed = {part: version for part in self._parts_of(version)}
         self._commit(state, version, {**state["parts"], **changed}, stream, batch)

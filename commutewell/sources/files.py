@@ -21,7 +21,7 @@ class MissingInput(FileNotFoundError):
 
 def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     """No rows of ``schema``, in a form Catalyst knows to be empty: joins and unions with it vanish."""
-    fields = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields
+    fields = (T.DataType.fromDDL(schema) if isinstance(schema, str) else schema).fields
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).where(F.lit(False))
 
 
@@ -83,8 +83,8 @@ def read_hr_csv(
 def inventory(spark: SparkSession, zone: str, suffix: str = ".parquet") -> DataFrame:
     """Entries directly below ``zone`` named ``*suffix``: files, or directories of such files.
 
-    Columns ``entry``, ``n_files`` and ``modified`` (latest change of a file). File contents are not
-    read; Spark lists large zones in parallel.
+    Columns ``entry``, ``n_files`` and ``modified`` (latest change of a file). Empty files do not
+    count. File contents are not read; Spark lists large zones in parallel.
     """
     try:
         files = (

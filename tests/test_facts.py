@@ -1,0 +1,153 @@
+from datetime import datetime
+
+import pytest
+from conftest import BIKE, BUS, WALK, activity, rows
+from pyspark.sql import functions as F
+
+from commutewell.operators import facts
+from commutewell.operators.dedup import latest_per_key, one_per_key
+from commutewell.operators.filters import in_modes, matching_modes
+from commutewell.operators.quality import undated
+
+BONUS = ("id_salarie", "annee_civile", "moyen_de_deplacement", "salaire_brut_base", "montant_prime")
+
+
+def test_bonus_takes_the_latest_salary(activities):
+    df = activities(
+        activity(jour="2026-05-01 08:00:00", salaire=20000.0),
+        activity(jour="04/06/2026", salaire=40000.0),
+        activity(jour="2026-01-01 08:00:00", salaire=30000.0),
+    )
+    assert rows(facts.bonus_by_rate(df), *BONUS) == [(1, 2026, BIKE, 40000.0, 2000.0)]
+
+
+def test_bonus_breaks_ties_by_salary(activities):
+    df = activities(activity(salaire=10.0), activity(salaire=30.0), activity(salaire=20.0))
+    assert rows(facts.bonus_by_rate(df), "salaire_brut_base") == [(30.0,)]
+
+
+def test_bonus_groups_by_year_and_mode(activities):
+    df = activities(
+        activity(jour="2025-12-31 23:59:59"),
+        activity(jour="2026-01-01 00:00:00"),
+        activity(jour="2026-01-01 00:00:00", moyen=WALK),
+        activity(moyen=BUS),
+        activity(moyen=None),
+    )
+    found = rows(facts.bonus_by_rate(df), "annee_civile", "moyen_de_deplacement")
+    assert found == [(2025, BIKE), (2026, WALK), (2026, BIKE)]
+
+
+def test_bonus_counts_rows_without_sport_unless_asked_not_to(activities):
+    df = activities(activity(sport=None))
+    assert len(rows(facts.bonus_by_rate(df))) == 1
+    assert rows(facts.bonus_by_rate(df, require_activity=True)) == []
+
+
+def test_bonus_keeps_single_precision_salary(activities):
+    df = activities(activity(salaire=27820.1))
+    assert rows(facts.bonus_by_rate(df), "montant_prime")[0][0] == pytest.approx(1391.0049804687501, abs=1e-12)
+
+
+def test_distance_bonus_has_one_row_per_salary(activities):
+    df = activities(activity(salaire=1.0), activity(salaire=1.0), activity(salaire=2.0))
+    assert rows(facts.bonus_by_distance(df), *BONUS, "statut_paiement") == [
+        (1, 2026, BIKE, 1.0, 5.0, "A PAYER"),
+        (1, 2026, BIKE, 2.0, 2.5, "A PAYER"),
+    ]
+
+
+@pytest.mark.parametrize(("days", "eligible"), [(14, False), (15, True), (16, True)])
+def test_eligibility_at_the_threshold(activities, days, eligible):
+    df = activities(*[activity() for _ in range(days)], activity(sport=None))
+    found = rows(facts.eligibility(df), "nombre_activites_total", "seuil_applique", "est_eligible")
+    assert found == [(days, 15, eligible)]
+
+
+def test_undated_rows_are_set_aside_not_counted(activities):
+    df = activities(activity(), activity(jour="abc"), activity(jour=None), activity(id_salarie=None))
+    assert rows(facts.eligibility(df), "nombre_activites_total") == [(1,)]
+    assert rows(undated(df)) == [(1, "Date Invalide", None), (1, "Date Invalide", None), (None, "Date Invalide", None)]
+
+
+def test_provenance(activities):
+    moment = F.lit("2026-07-01 00:00:00").cast("timestamp")
+    row = facts.eligibility(activities(activity()), as_of=moment).first()
+    assert (row.date_calcul_dwh, row.source_donnees) == (datetime(2026, 7, 1), "LIVE")
+
+
+def mixed(activities):
+    modes = [BIKE, WALK, BUS, None]
+    return activities(
+        *[
+            activity(
+                id_salarie=i % 7,
+                moyen=modes[i % 4],
+                sport=None if i % 5 == 0 else "VTT",
+                salaire=1000.0 + i % 3,
+                jour=f"202{4 + i % 3}-0{1 + i % 9}-1{i % 10} 08:00:0{i % 6}",
+            )
+            for i in range(400)
+        ]
+    )
+
+
+def test_live_summary_gives_both_facts(activities):
+    df = mixed(activities)
+    summary = facts.live_summary(df)
+    for whole, reduced in [
+        (facts.bonus_by_rate(df), facts.bonus_from_summary(summary)),
+        (facts.eligibility(df), facts.eligibility_from_summary(summary)),
+    ]:
+        columns = [c for c in whole.columns if c != "date_calcul_dwh"]
+        assert rows(whole, *columns) == rows(reduced, *columns) != []
+
+
+def test_history_summary_gives_both_facts(activities):
+    df = mixed(activities)
+    summary = facts.history_summary(df)
+    for whole, reduced in [
+        (facts.bonus_by_distance(df), facts.distance_bonus_from_summary(summary)),
+        (facts.eligibility(df, 10, "X"), facts.eligibility_from_summary(summary, 10, "X")),
+    ]:
+        columns = [c for c in whole.columns if c != "date_calcul_dwh"]
+        assert rows(whole, *columns) == rows(reduced, *columns) != []
+
+
+def test_facts_of_no_activities(activities):
+    df = activities()
+    assert rows(facts.bonus_by_rate(df)) == rows(facts.eligibility(df)) == []
+
+
+def test_mode_filters(activities):
+    df = activities(activity(moyen=BIKE), activity(moyen=BIKE.lower()), activity(moyen=BUS), activity(moyen=None))
+    assert in_modes(df).count() == 1
+    assert matching_modes(df, "vélo/trottinette|marche").count() == 2
+
+
+def test_one_congratulation_per_sport_activity(activities):
+    df = activities(activity(commentaire="Top"), activity(), activity(sport=None))
+    texts = ["Bravo Lou Durand !", "Bravo Lou Durand ! c'est Top !"]
+    assert sorted(r.message for r in facts.congratulations(df).collect()) == texts
+
+
+def test_geo_update_has_one_row_per_employee(activities):
+    df = activities(activity(adresse_domicile="a"), activity(adresse_domicile="b"), activity(id_salarie=None))
+    moment = F.lit("2026-07-01 00:00:00").cast("timestamp_ntz")
+    found = rows(
+        facts.geo_update(df, as_of=moment),
+        "id_salarie", "latitude", "longitude", "distance_km", "evolution_conges", "date_geocodage", "source_donnees",
+    )
+    assert found == [(1, 43.6, 3.9, 10.5, 0, "2026-07-01 00:00:00", "LIVE")]
+
+
+def test_latest_per_key_with_null_order(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (2, 5, "c"), (2, None, "d")], "k int, o int, v string")
+    assert rows(latest_per_key(df, ["k"], ["o", "v"])) == [(1, None, "b"), (2, 5, "c")]
+
+
+def test_one_per_key_is_deterministic(spark):
+    data = [(1, 1, "x"), (1, 1, "y"), (2, 1, "z"), (2, 0, "zz")]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "k int, t int, v string").repartition(3)
+        assert rows(one_per_key(df, ["k"], ["t"])) == [(1, 1, "y"), (2, 1, "z")]

@@ -1,0 +1,114 @@
+import random
+
+import pytest
+from conftest import rows
+
+from commutewell.operators.merge import add, apply_changes, unprocessed, upsert
+
+T = "k int, y int, a int, s string"
+S = "k int, y int, a int"
+
+
+def frames(spark, target, source):
+    return spark.createDataFrame(target, T), spark.createDataFrame(source, S)
+
+
+def test_update_insert_and_keep(spark):
+    t, s = frames(spark, [(1, 1, 10, "old"), (2, 1, 20, "old")], [(2, 1, 21), (3, 1, 31)])
+    merged = upsert(t, s, ["k", "y"], ["a"], {"s": "new"})
+    assert rows(merged) == [(1, 1, 10, "old"), (2, 1, 21, "old"), (3, 1, 31, "new")]
+
+
+def test_columns_outside_the_update_list_survive(spark):
+    t, s = frames(spark, [(1, 1, 10, "old")], [(1, 1, 99)])
+    assert rows(upsert(t, s, ["k", "y"], [])) == [(1, 1, 10, "old")]
+
+
+def test_update_takes_null_too(spark):
+    t, s = frames(spark, [(1, 1, 10, "old")], [(1, 1, None)])
+    assert rows(upsert(t, s, ["k", "y"])) == [(1, 1, None, "old")]
+
+
+def test_absent_column_without_default_is_null(spark):
+    t, s = frames(spark, [], [(1, 1, 5)])
+    assert rows(upsert(t, s, ["k", "y"])) == [(1, 1, 5, None)]
+
+
+@pytest.mark.parametrize("full_keys", [False, True])
+def test_null_keys_never_match(spark, full_keys):
+    t, s = frames(spark, [(1, None, 10, "old"), (1, None, 11, "old")], [(1, None, 20)])
+    merged = upsert(t, s, ["k", "y"], full_keys=full_keys, unique_source=full_keys)
+    assert rows(merged) == [(1, None, 10, "old"), (1, None, 11, "old"), (1, None, 20, None)]
+
+
+def test_many_source_rows_without_key_are_all_kept(spark):
+    t, s = frames(spark, [], [(None, 1, 1), (None, 1, 1)])
+    assert upsert(t, s, ["k", "y"]).count() == 2
+
+
+def test_duplicate_source_keys_are_refused(spark):
+    t, s = frames(spark, [(1, 1, 1, "x")], [(1, 1, 2), (1, 1, 2)])
+    with pytest.raises(Exception, match="several source rows for key 1, 1"):
+        upsert(t, s, ["k", "y"]).collect()
+
+
+def test_unknown_source_column_is_refused(spark):
+    t, s = frames(spark, [], [])
+    with pytest.raises(ValueError, match="zz"):
+        upsert(t, s.withColumnRenamed("a", "zz"), ["k", "y"])
+
+
+def test_merging_twice_changes_nothing(spark):
+    t, s = frames(spark, [(1, 1, 10, "old")], [(1, 1, 11), (2, 1, 21)])
+    once = upsert(t, s, ["k", "y"])
+    assert rows(upsert(once, s, ["k", "y"])) == rows(once)
+
+
+def test_accumulating_update(spark):
+    t, s = frames(spark, [(1, 1, 10, "old"), (2, 1, None, "old")], [(1, 1, 5), (2, 1, 5), (3, 1, 5)])
+    assert [r[2] for r in rows(upsert(t, s, ["k", "y"], {"a": add}))] == [15, 5, 5]
+
+
+def test_upsert_against_brute_force(spark):
+    rng = random.Random(3)
+    keys = [(k, y) for k in range(40) for y in range(3)]
+    target = {k: (rng.randrange(100), "old") for k in rng.sample(keys, 70)}
+    source = {k: rng.randrange(100) for k in rng.sample(keys, 50)}
+    t, s = frames(spark, [(*k, *v) for k, v in target.items()], [(*k, v) for k, v in source.items()])
+    want = target | {k: (v, target[k][1] if k in target else "A") for k, v in source.items()}
+    assert rows(upsert(t, s, ["k", "y"], ["a"], {"s": "A"})) == sorted([(*k, *v) for k, v in want.items()], key=repr)
+
+
+FEED = "id int, name string, __deleted string, seq int"
+
+
+def test_changes_reduce_to_the_last_image(spark):
+    feed = spark.createDataFrame(
+        [
+            (1, "a", "false", 1), (1, "b", "false", 2), (1, "b", "true", 3), (1, None, None, 4),
+            (2, "c", "false", 1), (2, "d", "false", 5),
+            (3, "e", "true", 1), (3, "f", "false", 2),
+            (4, None, None, 1),
+        ],
+        FEED,
+    )
+    assert rows(apply_changes(feed, ["id"], ["seq"])) == [(2, "d", 5), (3, "f", 2)]
+
+
+def test_changes_with_one_hot_key(spark):
+    rng = random.Random(5)
+    data = [(7 if rng.random() < 0.4 else rng.randrange(50), f"n{i}", rng.choice(["true", "false", "false"]), i) for i in range(2000)]
+    rng.shuffle(data)
+    last = {}
+    for row in data:
+        if row[0] not in last or row[3] > last[row[0]][3]:
+            last[row[0]] = row
+    want = sorted([(k, n, s) for k, n, d, s in last.values() if d != "true"], key=repr)
+    feed = spark.createDataFrame(data, FEED).repartition(6)
+    assert rows(apply_changes(feed, ["id"], ["seq"])) == want
+
+
+def test_unprocessed_keeps_what_the_ledger_lacks(spark):
+    items = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "file string")
+    ledger = spark.createDataFrame([("b",)] * 50 + [("z",), (None,)], "file string")
+    assert rows(unprocessed(items, ledger, "file")) == [("a",), ("c",), (None,)]

@@ -1,0 +1,129 @@
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from conftest import nullable, rows
+
+from commutewell.contract import BONUS_TABLE, ELIGIBILITY_TABLE, REFERENCE_TABLE, ContractViolation
+from commutewell.sinks.snapshot import ConcurrentCommit, SnapshotTable
+
+NOW = datetime(2026, 7, 1)
+UPDATE = ["nombre_activites_total", "est_eligible", "date_calcul_dwh"]
+SHOWN = ("id_salarie", "annee_civile", "nombre_activites_total", "seuil_applique", "est_eligible")
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return SnapshotTable(spark, f"{tmp_path}/t", ELIGIBILITY_TABLE)
+
+
+def facts(spark, *data, threshold=15):
+    filled = [(i, y, n, threshold, n is not None and n >= threshold, NOW, "LIVE") for i, y, n in data]
+    return spark.createDataFrame(filled, nullable(ELIGIBILITY_TABLE.schema))
+
+
+def test_empty_table(table):
+    assert (table.version, table.read().count(), table.applied("x")) == (0, 0, -1)
+    assert table.read().columns == ELIGIBILITY_TABLE.columns
+
+
+def test_replace_twice_gives_the_same_table(spark, table):
+    df = facts(spark, (1, 2025, 3), (1, 2026, 20))
+    assert table.replace(df) == 2
+    first = rows(table.read())
+    assert table.replace(df) == 2
+    assert rows(table.read()) == first
+    assert table.version == 2
+
+
+def test_replace_can_read_the_table_it_replaces(spark, table):
+    table.replace(facts(spark, (1, 2025, 3), (2, 2026, 20)))
+    table.replace(table.read().where("annee_civile = 2026"))
+    assert rows(table.read(), "id_salarie") == [(2,)]
+
+
+def test_merge_keeps_threshold_of_the_first_load(spark, table):
+    table.merge(facts(spark, (1, 2026, 3), threshold=10), UPDATE)
+    table.merge(facts(spark, (1, 2026, 12), (2, 2026, 20)), UPDATE)
+    assert rows(table.read(), *SHOWN) == [(1, 2026, 12, 10, False), (2, 2026, 20, 15, True)]
+
+
+def test_merge_rewrites_only_the_years_it_touches(spark, table):
+    table.replace(facts(spark, (1, 2024, 1), (1, 2025, 2), (2, 2025, 3)))
+    table.merge(facts(spark, (2, 2025, 9), (3, 2026, 4)), UPDATE)
+    assert rows(table.read(), *SHOWN[:3]) == [(1, 2024, 1), (1, 2025, 2), (2, 2025, 9), (3, 2026, 4)]
+    assert table._state()["parts"] == {"2024": 1, "2025": 2, "2026": 2}
+    assert rows(table.read([2025]), *SHOWN[:2]) == [(1, 2025), (2, 2025)]
+
+
+def test_merge_is_idempotent(spark, table):
+    df = facts(spark, (1, 2026, 3), (2, 2026, 4))
+    table.merge(df, UPDATE)
+    first = rows(table.read())
+    table.merge(df, UPDATE)
+    assert rows(table.read()) == first
+
+
+def test_batches_are_applied_once(spark, table):
+    from commutewell.operators.merge import add
+
+    rules = {"nombre_activites_total": add}
+    df = facts(spark, (1, 2026, 3))
+    assert table.merge(df, rules, stream="s", batch=0)
+    assert not table.merge(df, rules, stream="s", batch=0)
+    assert table.merge(df, rules, stream="s", batch=1)
+    assert rows(table.read(), "nombre_activites_total") == [(6,)]
+    table.forget("s")
+    assert (table.applied("s"), table.read().count()) == (-1, 1)
+    table.clear()
+    assert table.read().count() == 0
+
+
+def test_duplicate_keys_leave_the_old_table(spark, table):
+    table.replace(facts(spark, (1, 2026, 3)))
+    with pytest.raises(ContractViolation, match="several rows"):
+        table.replace(facts(spark, (2, 2026, 3), (2, 2026, 4)))
+    assert rows(table.read(), "id_salarie") == [(1,)]
+
+
+@pytest.mark.parametrize("bad", [(None, 2026, 3), (2, None, 3)])
+def test_null_keys_leave_the_old_table(spark, table, bad):
+    table.replace(facts(spark, (1, 2026, 3)))
+    for write in (lambda df: table.replace(df), lambda df: table.merge(df, UPDATE)):
+        with pytest.raises(ContractViolation, match="NULL"):
+            write(facts(spark, bad))
+    assert rows(table.read(), "id_salarie") == [(1,)]
+
+
+def test_a_failed_write_does_not_block_the_next(spark, table):
+    with pytest.raises(ContractViolation):
+        table.replace(facts(spark, (1, None, 3)))
+    table.replace(facts(spark, (1, 2026, 3)))
+    assert (table.version, table.read().count()) == (2, 1)
+
+
+def test_concurrent_commit_is_refused(spark, table):
+    state = table._state()
+    table.replace(facts(spark, (1, 2026, 3)))
+    with pytest.raises(ConcurrentCommit):
+        table._commit(state, 9, {}, None, None)
+    assert table.read().count() == 1
+
+
+def test_inserted_bonus_gets_the_default_status(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/b", BONUS_TABLE)
+    columns = "id_salarie int, annee_civile int, moyen_de_deplacement string, salaire_brut_base double, montant_prime double, date_calcul_dwh timestamp, source_donnees string"
+    paid = spark.createDataFrame([(1, 2026, "m", 10.0, 1.0, NOW, "X")], columns).selectExpr("*", "'PAYE' statut_paiement")
+    table.replace(paid)
+    fresh = spark.createDataFrame([(1, 2026, "m", 99.0, 2.0, NOW, "LIVE"), (2, 2026, "m", 20.0, 3.0, NOW, "LIVE")], columns)
+    table.merge(fresh, ["montant_prime", "date_calcul_dwh"])
+    shown = ("id_salarie", "salaire_brut_base", "montant_prime", "statut_paiement", "source_donnees")
+    assert rows(table.read(), *shown) == [(1, 10.0, 2.0, "PAYE", "X"), (2, 20.0, 3.0, "A PAYER", "LIVE")]
+
+
+def test_unpartitioned_table_with_all_column_upsert(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/r", REFERENCE_TABLE)
+    table.merge(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id_salarie int, nom string, prenom string"))
+    table.merge(spark.createDataFrame([(2, "c", None)], "id_salarie int, nom string, prenom string"))
+    assert rows(table.read(), "id_salarie", "nom", "prenom") == [(1, "a", "x"), (2, "c", None)]
+    assert len(list(Path(tmp_path, "r", "commits").glob("*.json"))) == 2
