@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from commutewell.contract import (
     ACTIVITY,
@@ -79,8 +79,9 @@ class Lake:
         """
         found = []
         for zone in (self.live, f"{self.drops}/*.parquet"):
-            found += [(path,) for path in read_parquet(self.spark, zone, ACTIVITY).inputFiles()]
-        listed = self.spark.createDataFrame(found, "file_path string")
+            found += read_parquet(self.spark, zone, ACTIVITY).inputFiles()
+        # One spelling per file: "scheme:///path" and "scheme:/path" are the same.
+        listed = self.spark.createDataFrame([(re.sub(r"^(\w+):///", r"\1:/", path),) for path in found], "file_path string")
         return unprocessed(listed, self.ledger_files(), "file_path")
 
     def next_batch(self) -> tuple[int, list[str]]:
@@ -109,8 +110,6 @@ class Lake:
         """Inventory of the live zones without the entries whose files are all in a batch."""
         parts = []
         for zone in (self.live, self.drops):
-            entry = entry_of(self.spark, zone, "file_path").alias("entry")
-            base = self.storage.qualified(zone)
-            seen = self.ledger_files().where(F.col("file_path").startswith(base + "/")).select(entry)
+            seen = self.ledger_files().select(entry_of(self.spark, zone, "file_path").alias("entry"))
             parts.append(unprocessed(inventory(self.spark, zone), seen, "entry"))
         return parts[0].unionByName(parts[1])

@@ -98,17 +98,22 @@ def inventory(spark: SparkSession, zone: str, suffix: str = ".parquet") -> DataF
             raise
         return empty(spark, INVENTORY)
     return (
-        files.select(entry_of(spark, zone, "path").alias("entry"), "modificationTime")
+        files.select(entry_of(spark, zone, "path", encoded=False).alias("entry"), "modificationTime")
         .where(F.col("entry").endswith(suffix))
         .groupBy("entry")
         .agg(F.count("*").alias("n_files"), F.max("modificationTime").alias("modified"))
     )
 
 
-def entry_of(spark: SparkSession, zone: str, path: str) -> Column:
-    """Column: name of the entry of ``zone`` that holds the file named in column ``path``."""
-    base = Storage(spark).qualified(zone).rstrip("/")
-    return F.element_at(F.split(F.expr(f"substring({path}, {len(base) + 2})"), "/"), 1)
+def entry_of(spark: SparkSession, zone: str, path: str | Column, encoded: bool = True) -> Column:
+    """Column: name of the entry of ``zone`` that holds the file ``path``; NULL for a file elsewhere.
+
+    ``encoded`` says that the path is URL-encoded, as in ``_metadata.file_path``.
+    """
+    path = F.col(path) if isinstance(path, str) else path
+    base = Storage(spark).absolute(zone, encoded).rstrip("/") + "/"
+    inside = F.element_at(F.split(F.substring_index(path, base, -1), "/"), 1)
+    return F.when(path.contains(base), inside)
 
 
 def count_files(spark: SparkSession, zone: str, suffix: str = ".parquet") -> int:

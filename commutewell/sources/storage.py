@@ -16,10 +16,11 @@ class Storage:
         hadoop_path = self._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self._conf), hadoop_path
 
-    def qualified(self, path: str) -> str:
-        """``path`` with scheme and authority, as Spark reports file names."""
+    def absolute(self, path: str, encoded: bool = False) -> str:
+        """``path`` from the root of its file system, without scheme; URL-``encoded`` on request."""
         fs, hadoop_path = self._open(path)
-        return fs.makeQualified(hadoop_path).toString()
+        uri = fs.makeQualified(hadoop_path).toUri()
+        return uri.getRawPath() if encoded else uri.getPath()
 
     def exists(self, path: str) -> bool:
         fs, hadoop_path = self._open(path)
