@@ -206,11 +206,9 @@ def q09_upsert_replace(spark, sf_dir):
 
 
 def q10_upsert_all_columns(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    source = rows.where("c_custkey % 2 = 0").select(
-        "c_custkey", F.upper("c_name").alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal")
-    )
-    return upsert(rows.where("c_custkey % 3 <> 0"), source, ["c_custkey"])
+    users = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("c_custkey"))
+    target = users.agg(F.max("event_type").alias("c_name"), F.max("value").alias("c_acctbal"))
+    return upsert(target, table(spark, sf_dir, "customer").select(*target.columns), ["c_custkey"])
 
 
 def q11_key_violations(spark, sf_dir):
@@ -535,11 +533,11 @@ SELECT id_salarie, annee_civile, coalesce(s.n, t.n) AS nombre_activites_total,
        coalesce(s.n >= 2, t.n >= 3) AS est_eligible
 FROM t FULL JOIN s USING (id_salarie, annee_civile)""",
     "q10_upsert_all_columns": """
-WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0),
-     s AS (SELECT c_custkey, upper(c_name) AS c_name, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey % 2 = 0)
-SELECT c_custkey, CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name,
+WITH t AS (SELECT user_id AS c_custkey, max(event_type) AS c_name, max(value) AS c_acctbal FROM events GROUP BY 1)
+SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey,
+       CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name,
        CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END AS c_acctbal
-FROM t FULL JOIN s USING (c_custkey)""",
+FROM t FULL JOIN customer s ON t.c_custkey = s.c_custkey""",
     "q11_key_violations": """
 SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS annee_civile, o_orderpriority, count(*) AS n
 FROM orders GROUP BY 1,2,3 HAVING count(*) > 1""",

@@ -47,8 +47,8 @@ def from_json_payload(record: T.StructType):
 def from_avro_payload(schema: str):
     """Codec: Avro binary by the JSON ``schema``.
 
-    Needs Spark's Avro module on the class path (``--packages org.apache.spark:spark-avro_2.13:4.1.2``);
-    a record that does not parse is NULL.
+    Needs Spark's Avro module on the class path (``--packages org.apache.spark:spark-avro_2.13:4.1.2``),
+    without which Spark refuses the plan. A record that does not parse is NULL.
     """
     from pyspark.sql.avro.functions import from_avro
 

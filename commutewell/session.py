@@ -20,6 +20,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+    # Recording the Python call site of every column costs the driver more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

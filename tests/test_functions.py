@@ -3,13 +3,21 @@ import math
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commutewell.functions.dates import as_date, as_moment, year_of
 from commutewell.functions.geo import distance_to_office_km, haversine_km
 from commutewell.functions.text import congratulation, full_name, strip
-from commutewell.functions.wire import avro_schema, decode, from_json_payload, payload, schema_id
+from commutewell.functions.wire import (
+    avro_schema,
+    decode,
+    from_avro_payload,
+    from_json_payload,
+    payload,
+    schema_id,
+)
 
 
 @pytest.mark.parametrize(
@@ -131,3 +139,15 @@ def test_avro_schema_of_a_record():
         {"name": "id", "type": "int"},
         {"name": "name", "type": ["null", "string"], "default": None},
     ]
+
+
+def test_avro_codec(spark):
+    # id 1 as zigzag, branch 1 of the union, a string of two bytes; then id 2 with branch 0
+    header = b"\x00\x00\x00\x00\x07"
+    messages = frame(spark, bytearray(header + b"\x02\x02\x04" + "é".encode()), bytearray(header + b"\x04\x00"))
+    try:
+        records = decode(messages, from_avro_payload(avro_schema(RECORD)))
+    except AnalysisException as error:
+        assert error.getCondition() == "AVRO_NOT_LOADED_SQL_FUNCTIONS_UNUSABLE"
+        pytest.skip("Spark's Avro module is not on the class path")
+    assert [tuple(r) for r in records.collect()] == [(1, "é"), (2, None)]
