@@ -64,10 +64,6 @@ class Lake:
         """``file_path`` of every file in a live batch, finished or not."""
         return read_parquet(self.spark, f"{self.ledger}/files", "file_path string, batch int")
 
-    def _batches(self) -> list[int]:
-        names = self.storage.names(f"{self.ledger}/files")
-        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
-
     def _finished(self) -> int:
         """Id of the last finished batch; -1 before the first."""
         return max((int(n) for n in self.storage.names(f"{self.ledger}/done") if n.isdigit()), default=-1)
@@ -90,16 +86,16 @@ class Lake:
         The file list is stored before it is returned, so a repeated attempt works on the same
         files whatever arrived since. No files means nothing to do.
         """
-        planned = self._batches()
         number = self._finished() + 1
         folder = f"{self.ledger}/files/batch={number}"
-        if number not in planned:
-            fresh = self.new_files()
-            if fresh.isEmpty():
-                return number, []
-            fresh.write.mode("overwrite").parquet(folder)
-        files = self.spark.read.schema("file_path string").parquet(folder)
-        return number, [unquote(row.file_path) for row in files.collect()]
+        # The list is one file, so it is there as a whole or not at all.
+        found = [row.file_path for row in read_parquet(self.spark, folder, "file_path string").collect()]
+        if not found:
+            found = [row.file_path for row in self.new_files().collect()]
+            if found:
+                listed = self.spark.createDataFrame([(path,) for path in found], "file_path string")
+                listed.coalesce(1).write.mode("overwrite").parquet(folder)
+        return number, [unquote(path) for path in found]
 
     def finish_batch(self, number: int) -> None:
         """Mark batch ``number`` as completely processed."""

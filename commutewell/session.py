@@ -8,13 +8,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 # AQE sizes the shuffles at run time: start from many small partitions, merge them up to the
-# advisory size, split what is skewed. The initial number is the only one that grows with the data.
+# advisory size, split what is skewed.
 CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
@@ -25,23 +24,27 @@ CLUSTER_CONF = {
 }
 
 
+# Shuffle partitions to start from. On a cluster the only number that grows with the data.
+CLUSTER_PARTITIONS = "8192"
+LOCAL_PARTITIONS = "8"
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
 def build_session(app: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
-    """A session with the cluster defaults; ``conf`` wins over them.
+    """A session with the defaults above; ``conf`` wins over them.
 
-    With a ``local[...]`` master the shuffle starts from 8 partitions instead of 8192.
+    A number of shuffle partitions that is already configured is kept.
     """
-    settings = dict(CLUSTER_CONF)
-    builder = SparkSession.builder.appName(app)
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", str(not (master or "").startswith("local")).lower())
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
-            settings.pop("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-            settings["spark.sql.shuffle.partitions"] = "8"
-            settings["spark.ui.enabled"] = "false"
-    settings.update(conf or {})
-    for key, value in settings.items():
+    for key, value in {**CLUSTER_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if spark.conf.get(_PARTITIONS) == "200":  # Spark's own default: nobody chose it
+        local = spark.sparkContext.master.startswith("local")
+        spark.conf.set(_PARTITIONS, LOCAL_PARTITIONS if local else CLUSTER_PARTITIONS)
+    return spark
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

@@ -21,7 +21,11 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         {
-            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",  # many short plans: start-up beats peak speed
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
+            "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(base / "shared"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
         },
