@@ -35,9 +35,11 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
 
     A number of shuffle partitions that is already configured is kept.
     """
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", str(not (master or "").startswith("local")).lower())
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.ui.enabled", "false")
     for key, value in {**CLUSTER_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
