@@ -44,6 +44,14 @@ from commutewell.sources.files import entry_of, inventory, read_activity_csv, re
 from commutewell.streaming.bronze import land, stream_files
 from commutewell.streaming.facts import ACCUMULATE, GEO_UPDATE, stream_facts
 
+try:  # the only guard: the subpackage and its pipeline may both be absent
+    import corpus_pipeline
+    from commutewell.llm import queries as llm
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "commutewell.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 MODES = ("1-URGENT", "2-HIGH")
 
 
@@ -467,10 +475,14 @@ def entry(spark: SparkSession) -> DataFrame:
     return q03_eligibility(spark, "/root/testdata/sf0.001")
 
 
+def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name; each takes (spark, sf_dir)."""
     named = [(name, value) for name, value in globals().items() if name[0] == "q" and name[1:3].isdigit()]
-    return dict(sorted(named))
+    return dict(sorted(named)) | llm_queries()
 
 
 _HISTORY = """
@@ -691,4 +703,4 @@ UNION ALL SELECT 'row_count', CAST(count(*) AS DOUBLE), count(*) > 0 FROM h""",
 
 def oracle_sql() -> dict[str, str]:
     """SQL per query. ``q28_file_inventory`` has none: file names and times are in no table."""
-    return dict(_SQL)
+    return _SQL | (llm.oracle_sql() | ({"pipeline": sql} if (sql := corpus_pipeline.ORACLE_SQL) else {}) if llm else {})
