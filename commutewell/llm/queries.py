@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from commutewell.llm import sharding
+from commutewell.llm import packing, sharding
 from commutewell.llm.common import table
 from commutewell.session import work_dir
 
@@ -17,6 +17,10 @@ def op4_virtual_slots(spark, sf_dir):
     )
 
 
+def op9_grouping_genetic(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries():
     named = [(name, value) for name, value in globals().items() if name.startswith("op") and name[2].isdigit()]
     return dict(sorted(named, key=lambda x: int(x[0][2:].split("_")[0])))
