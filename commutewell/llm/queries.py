@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from commutewell.llm import packing, sharding
+from commutewell.llm import langid, neardup, packing, sharding, toxicity
 from commutewell.llm.common import table
 from commutewell.session import work_dir
 
 
+def op3_word_backoff(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_virtual_slots(spark, sf_dir):
     out = sharding.shard(table(spark, sf_dir, "documents"), work_dir(spark, "slot-map"))
     return out.select(
@@ -17,10 +21,18 @@ def op4_virtual_slots(spark, sf_dir):
     )
 
 
+def op7_weighted_lexicon(spark, sf_dir):
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_grouping_genetic(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries():
     named = [(name, value) for name, value in globals().items() if name.startswith("op") and name[2].isdigit()]
     return dict(sorted(named, key=lambda x: int(x[0][2:].split("_")[0])))
