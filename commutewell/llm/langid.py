@@ -144,10 +144,12 @@ def predictions(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of every row; only the text is looked at."""
     spark = docs.sparkSession
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("lang_pred string, score double")])
-    shared = spark.sparkContext.broadcast(model)  # bounded by WORDS and GRAMS
+    shared = spark.sparkContext.broadcast(vars(model))  # bounded by WORDS and GRAMS
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = shared.value.predict
+        known = Model([], {})
+        vars(known).update(shared.value)
+        predict = known.predict
         for batch in batches:
             found = [predict(text.as_py()) for text in batch.column(1)]
             columns = list(zip(*found)) or [(), ()]
@@ -164,3 +166,16 @@ def identify(docs: DataFrame, parts: int = 3, part: int = 1) -> DataFrame:
     return predictions(docs, model).select(
         "doc_id", F.coalesce(held_out(F.col("doc_id"), parts, part), F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known: those without a letter go."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Model([], {})
+        vars(known).update(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array([known.predict(text.as_py())[0] != UNKNOWN for text in batch.column("text")], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

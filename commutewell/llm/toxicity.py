@@ -7,7 +7,7 @@ exceptions, are divided by its number of words; a logistic curve over the logari
 score.
 
 Everything is learned from a hash sample of about ``TRAIN_DOCS`` distinct labelled texts per class. Entries are
-chosen by greedy cover: each must lie in texts of the toxic class that no entry covers yet, and hardly in any
+chosen by greedy cover: each must lie in texts of the toxic class that few entries cover yet, and hardly in any
 others. The sample bounds what the driver holds; the whole texts of all rows are then scored in Spark.
 
 Defined results: NULL and empty texts score the curve's value at density 0; without labels of both classes
@@ -32,9 +32,12 @@ from commutewell.llm.common import stored
 from commutewell.llm.langid import held_out
 
 TRAIN_DOCS = 2500
-MIN_TEXTS = 5  # texts that an entry must occur in
-PURITY = 0.95  # share of the toxic class among an entry's texts, each class weighted alike
-MIN_NEW = 3  # texts that an entry must add to the cover
+MIN_TEXTS = 5  # toxic texts that an entry must occur in,
+MIN_SHARE = 0.015  # and its share of all of them
+PURITY = 0.98  # share of the toxic class among an entry's texts, each class weighted alike
+DEPTH = 5  # entries after which a toxic text counts as covered
+MIN_NEW = 3  # texts not yet covered that a further entry must occur in
+CLEAN_COST = 3  # what a share of the clean texts costs against the same share of toxic ones
 PREFIXES = range(4, 9)
 ENTRIES = 400  # entries at most; greedy cover stops much earlier
 CONTEXTS = 2  # harmless texts that make an exception
@@ -81,9 +84,6 @@ class Lexicon:
         self.weights, self.exceptions, self.slope, self.shift = weights, exceptions, slope, shift
         self._automaton = None
 
-    def __getstate__(self):
-        return self.__dict__ | {"_automaton": None}
-
     def automaton(self):
         if self._automaton is None:
             import ahocorasick
@@ -170,21 +170,32 @@ def term_counts(texts: DataFrame) -> DataFrame:
 
 
 def chosen(candidates: dict[str, tuple[int, int]], cover: list[set[str]], sizes: tuple[int, int]) -> dict[str, float]:
-    """Entries by greedy cover of the toxic texts, with their smoothed log odds as weight."""
+    """Entries by greedy cover of the toxic texts, with their smoothed log odds as weight.
+
+    Each step takes the entry with the most texts that are covered less than DEPTH times, less its cost in
+    clean texts; ties go to the longer one. What an entry makes redundant, because it lies in the other or
+    the other in it, is no longer a candidate.
+    """
+    depth = [0] * len(cover)
     texts: dict[str, set[int]] = {}
     for n, terms in enumerate(cover):
         for term in terms:
             texts.setdefault(term, set()).add(n)
-    left, out = set(range(len(cover))), {}
+    gain = lambda t: len(texts[t]) / sizes[1] - CLEAN_COST * candidates[t][0] / sizes[0]
+    out: dict[str, float] = {}
     while len(out) < ENTRIES and texts:
-        term = max(texts, key=lambda t: (len(texts[t]), -len(t), t))
-        if len(texts[term]) < MIN_NEW:
+        term = max(texts, key=lambda t: (gain(t), len(t), t))
+        if len(texts[term]) < MIN_NEW or gain(term) <= 0:
             break
         clean, toxic = candidates[term]
         out[term] = math.log((toxic + 0.5) / (sizes[1] + 1)) - math.log((clean + 0.5) / (sizes[0] + 1))
-        gone = texts.pop(term)
-        left -= gone
-        texts = {t: rest for t, now in texts.items() if (rest := now - gone)}
+        covered = set()
+        for n in texts.pop(term):
+            depth[n] += 1
+            if depth[n] == DEPTH:
+                covered.add(n)
+        texts = {t: now - covered for t, now in texts.items() if not (t.startswith(term) or term.startswith(t))}
+        texts = {t: now for t, now in texts.items() if now}
     return out
 
 
@@ -219,7 +230,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Le
     if not sizes.get(0) or not sizes.get(1):
         return Lexicon({}, set())
     pure = F.col("toxic") / sizes[1] >= PURITY * (F.col("toxic") / sizes[1] + F.col("clean") / sizes[0])
-    candidates = {r.term: (r.clean, r.toxic) for r in term_counts(texts).filter(pure & (F.col("toxic") >= MIN_TEXTS)).collect()}
+    least = max(MIN_TEXTS, MIN_SHARE * sizes[1])
+    candidates = {r.term: (r.clean, r.toxic) for r in term_counts(texts).filter(pure & (F.col("toxic") >= least)).collect()}
     sample = [(folded(r.text), r.toxic) for r in texts.select("text", "toxic").toLocalIterator()]
     clean, toxic = ([words for words, y in sample if y == label] for label in (0, 1))
     cover = [{t for t in terms_of(words) if t in candidates} for words in toxic]
@@ -234,10 +246,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Le
 def scores(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id, score and predicted of every row; only the text is looked at."""
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("score double, predicted int")])
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # bounded by ENTRIES and the sample
+    parts = (lexicon.weights, lexicon.exceptions, lexicon.slope, lexicon.shift)
+    shared = docs.sparkSession.sparkContext.broadcast(parts)  # bounded by ENTRIES and the sample
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = shared.value.score
+        score = Lexicon(*shared.value).score
         for batch in batches:
             found = [score(text.as_py()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -253,3 +266,16 @@ def rate(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0) -> D
     out = lambda: F.coalesce(held_out(F.col("doc_id"), parts, part), F.lit(False))
     lexicon = train(docs, labels.filter(~out()))
     return scores(docs, lexicon).select("doc_id", out().alias("held_out"), "score", "predicted")
+
+
+def accepted(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not predicted to be toxic."""
+    parts = (lexicon.weights, lexicon.exceptions, lexicon.slope, lexicon.shift)
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Lexicon(*shared.value).score
+        for batch in batches:
+            yield batch.filter(pa.array([score(text.as_py()) < 0.5 for text in batch.column("text")], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
