@@ -21,7 +21,8 @@ SENTENCES = {
     "apache-ref": "Licensed under the Apache License, Version 2.0",
     "apache-you": 'Licensed under the Apache License, Version 2.0 (the "License")',
     "apache-comply": "you may not use this file except in compliance with the License",
-    "apache-copy": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "apache-copy": "You may obtain a copy of the License at",
+    "apache-copy-at": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "apache-basis": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied',
     "apache-see": "See the License for the specific language governing permissions and limitations under the License",
     "mit-ref": "Released under the MIT License",
@@ -37,7 +38,7 @@ SENTENCES = {
     "gpl3-ref": "This work is licensed under the GNU General Public License, version 3",
     "gpl-free": "This program is free software",
     "gpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
-    "gpl2-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "gpl2-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version",
     "gpl2-either": "either version 2 of the License, or (at your option) any later version",
     "gpl-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
@@ -61,6 +62,7 @@ RULES = (
     ("Apache-2.0", "apache-ref"),
     ("Apache-2.0", "apache-you apache-comply"),
     ("Apache-2.0", "apache-you apache-comply apache-copy apache-basis apache-see"),
+    ("Apache-2.0", "apache-you apache-comply apache-copy-at apache-basis apache-see"),
     ("Apache-2.0", "spdx-apache"),
     ("MIT", "mit-ref"),
     ("MIT", "mit-lic"),
@@ -100,7 +102,7 @@ def normal(sentence: str) -> str:
 
 
 def known() -> dict[str, str]:
-    """Identifier by normalised sentence; sentences that hold an end of their own are known by their last part too."""
+    """Identifier by normalised sentence."""
     return {normal(text): name for name, text in SENTENCES.items()}
 
 

@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from commutewell.llm import langid, neardup, packing, sharding, toxicity
+from commutewell.llm import langid, licenses, mixing, neardup, oph, packing, sharding, templates, toxicity, vafile
 from commutewell.llm.common import table
 from commutewell.session import work_dir
 
 
+def op1_pfair_mixing(spark, sf_dir):
+    """Sources by the square root of their rows; one row per document with its block's window and its place."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("row.doc_id", "row.source", "block", "release", "deadline", "turn", "place")
+
+
+def op2_vector_approximation(spark, sf_dir):
+    return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_word_backoff(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -21,10 +31,22 @@ def op4_virtual_slots(spark, sf_dir):
     )
 
 
+def op5_sentence_rules(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_site_templates(spark, sf_dir):
+    return templates.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_weighted_lexicon(spark, sf_dir):
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_one_permutation(spark, sf_dir):
+    return oph.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_grouping_genetic(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -38,5 +60,41 @@ def queries():
     return dict(sorted(named, key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _licenses_sql() -> str:
+    """The sentence rules as DuckDB lists, from the same sentences and rules."""
+    names = ", ".join(f"{_text(sentence)}: {_text(name)}" for sentence, name in licenses.known().items())
+    rules = ", ".join(f"{{'license': {_text(lic)}, 'rule': {_text(f' {rule} ')}}}" for lic, rule in licenses.RULES)
+    ids = lambda ends: (
+        f"list_filter(list_transform(string_split_regex(lower(coalesce(text, '')), {_text(ends)}), "
+        "lambda s: known[trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))]), lambda x: x IS NOT NULL)"
+    )
+    hits = lambda col: f"list_filter(rules, lambda r: contains(' ' || array_to_string({col}, ' ') || ' ', r.rule))"
+    outer = lambda h: f"list_filter({h}, lambda r: len(list_filter({h}, lambda o: o.rule <> r.rule AND contains(o.rule, r.rule))) = 0)"
+    return f"""
+WITH c AS (SELECT MAP {{{names}}} AS known, [{rules}] AS rules),
+     s AS (SELECT doc_id, {ids(licenses.WRAPPED)} AS wrapped, {ids(licenses.LINES)} AS lines, rules FROM documents, c),
+     h AS (SELECT doc_id, wrapped, lines, {hits("wrapped")} AS hw, {hits("lines")} AS hl FROM s),
+     m AS (SELECT doc_id, wrapped, lines, list_distinct(list_concat({outer("hw")}, {outer("hl")})) AS hits FROM h)
+SELECT doc_id,
+       coalesce(array_to_string(list_sort(list_distinct(list_transform(hits, lambda x: x.license))), ','), '') AS licenses,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(wrapped, lines))), ','), '') AS sentences,
+       coalesce(array_to_string(list_sort(list_transform(hits, lambda x: trim(x.rule))), ','), '') AS rules
+FROM m"""
+
+
+_TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20"""
+
+
 def oracle_sql():
-    return {}
+    return {"op2_vector_approximation": _TOP_K_SQL, "op5_sentence_rules": _licenses_sql()}
