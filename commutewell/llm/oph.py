@@ -116,16 +116,15 @@ def in_order(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(ends.a)) / width).cast("long"), -1 - F.pmod(F.xxhash64(text), F.lit(buckets)))
     rows = docs.select("doc_id", text.alias("text"), bucket.alias("bucket"))
-    rows = rows.withColumn("bits", fingerprint(F.col("text")))
     here = Window.partitionBy("bucket").orderBy("doc_id", "text")
-    led = rows.withColumn("nr", F.row_number().over(here))
-    firsts = led.filter("nr = 1").select("bucket", F.col("text").alias("first_text"), F.col("bits").alias("first_bits"))
+    firsts = rows.withColumn("nr", F.row_number().over(here)).filter("nr = 1").select("bucket", F.col("text").alias("first_text"))
     order = docs.select(bucket.alias("bucket")).distinct()
     everywhere = Window.orderBy("bucket")
     before = F.coalesce(F.lag("bucket").over(everywhere), F.last("bucket").over(everywhere.rowsBetween(0, Window.unboundedFollowing)))
     firsts = firsts.join(order.select("bucket", before.alias("before")), "bucket").select(
-        F.col("before").alias("bucket"), "first_text", "first_bits"
+        F.col("before").alias("bucket"), "first_text", fingerprint(F.col("first_text")).alias("first_bits")
     )
+    led = rows.withColumn("bits", fingerprint(F.col("text")))
     led = led.withColumn("next_text", F.lead("text").over(here)).withColumn("next_bits", F.lead("bits").over(here))
     return led.join(firsts, "bucket").select(
         "doc_id", "text", "bits",
