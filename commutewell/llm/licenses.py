@@ -114,12 +114,15 @@ def identifiers(text: Column, ends: str) -> Column:
 
 
 def matched(ids: Column) -> Column:
-    """(license, rule) of the rules that match, without those inside a longer one."""
+    """(license, rule) of the rules whose identifiers follow one another in ``ids``."""
     line = F.concat(F.lit(" "), F.array_join(ids, " "), F.lit(" "))
     rules = F.array(*[F.struct(F.lit(lic).alias("license"), F.lit(f" {rule} ").alias("rule")) for lic, rule in RULES])
-    hits = F.filter(rules, lambda r: F.contains(line, r["rule"]))
-    whole = lambda hits: F.filter(hits, lambda r: ~F.exists(hits, lambda o: (o["rule"] != r["rule"]) & F.contains(o["rule"], r["rule"])))
-    return F.element_at(F.transform(F.array(hits), whole), 1)
+    return F.filter(rules, lambda r: F.contains(line, r["rule"]))
+
+
+def longest(hits: Column) -> Column:
+    """``hits`` without the rules that lie inside a longer one."""
+    return F.filter(hits, lambda r: ~F.exists(hits, lambda o: (o["rule"] != r["rule"]) & F.contains(o["rule"], r["rule"])))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -132,7 +135,7 @@ def scan(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     found = lambda ends: F.when(anchored, identifiers(text, ends)).otherwise(none)
     rows = docs.select("doc_id", found(WRAPPED).alias("wrapped"), found(LINES).alias("lines"))
-    rows = rows.withColumn("hits", F.array_union(matched(F.col("wrapped")), matched(F.col("lines"))))
+    rows = rows.withColumn("all", F.array_union(matched(F.col("wrapped")), matched(F.col("lines")))).withColumn("hits", longest(F.col("all")))
     return rows.select(
         "doc_id",
         F.array_join(F.array_sort(F.array_distinct(F.col("hits.license"))), ",").alias("licenses"),

@@ -78,7 +78,8 @@ def _licenses_sql() -> str:
 WITH c AS (SELECT MAP {{{names}}} AS known, [{rules}] AS rules),
      s AS (SELECT doc_id, {ids(licenses.WRAPPED)} AS wrapped, {ids(licenses.LINES)} AS lines, rules FROM documents, c),
      h AS (SELECT doc_id, wrapped, lines, {hits("wrapped")} AS hw, {hits("lines")} AS hl FROM s),
-     m AS (SELECT doc_id, wrapped, lines, list_distinct(list_concat({outer("hw")}, {outer("hl")})) AS hits FROM h)
+     a AS (SELECT doc_id, wrapped, lines, list_distinct(list_concat(hw, hl)) AS every FROM h),
+     m AS (SELECT doc_id, wrapped, lines, {outer("every")} AS hits FROM a)
 SELECT doc_id,
        coalesce(array_to_string(list_sort(list_distinct(list_transform(hits, lambda x: x.license))), ','), '') AS licenses,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(wrapped, lines))), ','), '') AS sentences,

@@ -10,8 +10,8 @@ Everything is learned from a hash sample of about ``TRAIN_DOCS`` distinct labell
 chosen by greedy cover: each must lie in texts of the toxic class that few entries cover yet, and hardly in any
 others. The sample bounds what the driver holds; the whole texts of all rows are then scored in Spark.
 
-Defined results: NULL and empty texts score the curve's value at density 0; without labels of both classes
-every score is 0; repeated rows count once in training and are scored each; NULL labels teach nothing. Only
+Defined results: NULL and empty texts score the curve's value at density 0; without labels of both classes,
+or if they teach no entry, every score is 0; repeated rows count once in training and are scored each; NULL labels teach nothing. Only
 ``doc_id`` and ``text`` of the documents are read.
 """
 
@@ -146,7 +146,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DO
     Ids are drawn by hash; at most a few thousand are left, so they are broadcast to the texts.
     """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    share = known.groupBy("toxic").agg((F.lit(per_class) / F.count("*")).alias("share"))
+    share = F.broadcast(known.groupBy("toxic").agg((F.lit(per_class) / F.count("*")).alias("share")))  # two lines
     draw = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_000)) / 1_000_000
     drawn = known.join(share, "toxic").filter(draw < F.col("share")).select("doc_id", "toxic")
     texts = docs.filter("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
@@ -236,6 +236,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Le
     clean, toxic = ([words for words, y in sample if y == label] for label in (0, 1))
     cover = [{t for t in terms_of(words) if t in candidates} for words in toxic]
     weights = chosen(candidates, cover, (sizes[0], sizes[1]))
+    if not weights:
+        return Lexicon({}, set())
     lexicon = Lexicon(weights, set())
     lexicon = Lexicon(weights, exceptions_of(lexicon, clean, toxic))
     densities = [lexicon.density(words) for words in (*clean, *toxic)]

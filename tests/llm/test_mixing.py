@@ -1,0 +1,89 @@
+"""Pfair mixing: windows, deviation and order against a simulation."""
+
+from collections import Counter
+from fractions import Fraction
+
+import pytest
+
+from commutewell.llm import mixing
+
+
+def simulated(turns, frame):
+    """Earliest deadline first over one frame, turn by turn."""
+    nxt, order = dict.fromkeys(turns, 0), []
+    for t in range(frame):
+        ready = [(-((-(nxt[k] + 1) * frame) // turns[k]), k) for k in sorted(turns) if nxt[k] < turns[k] and nxt[k] * frame // turns[k] <= t]
+        k = min(ready)[1]
+        order.append((t, k, nxt[k]))
+        nxt[k] += 1
+    return order
+
+
+@pytest.mark.parametrize("turns", [{"=a": 50, "=b": 30, "=c": 20}, {"=a": 97, "=b": 1, "-": 2}, {"=x": 100}, {f"={i}": 5 for i in range(20)}])
+def test_frame_equals_simulation(spark, turns):
+    phases = [{"phase": i, "key": k, "turns": q, "first": 0, "turn": 0} for i, (k, q) in enumerate(sorted(turns.items()))]
+    got = mixing.schedule(mixing._phase_table(spark, phases), 100).collect()
+    assert sorted((r.slot, r.key, r.k) for r in got) == simulated(turns, 100)
+
+
+@pytest.fixture(scope="module")
+def mixed(documents):
+    rows = [(i, f"text {i}", "en", "big" if i % 3 else ("small" if i % 4 else None), 1) for i in range(1500)]
+    rows += [(i, f"text {i}", "en", f"rare{i % 2}", 1) for i in range(1500, 1560)]
+    docs = documents(rows)
+    got = mixing.mix(docs, {"big": 5.0, "small": 3.0}, default=1.0, block_rows=4, frame=50)
+    return rows, got.select("row.*", "block", "release", "deadline", "turn", "place").toDF(*[f"c{i}" for i in range(len(docs.columns) + 5)]).collect()
+
+
+def parts(mixed):
+    rows, got = mixed
+    return rows, [(r[0], r[3], *r[-5:]) for r in got]
+
+
+def test_every_row_has_one_place(mixed):
+    rows, got = parts(mixed)
+    assert sorted(r[0] for r in got) == [r[0] for r in rows]
+    assert len({(turn, place) for *_, turn, place in got}) == len(got)
+    assert all(0 <= place < 4 for *_, place in got)
+
+
+def test_blocks_go_within_their_windows_one_a_turn(mixed):
+    _, got = parts(mixed)
+    blocks = {(source, block, release, deadline, turn) for _, source, block, release, deadline, turn, _ in got}
+    assert all(release <= turn < deadline for *_, release, deadline, turn in blocks)
+    assert len({b[-1] for b in blocks}) == len(blocks) == len({b[:2] for b in blocks})
+
+
+def test_less_than_one_block_from_the_target(mixed):
+    """Until a source runs out, every prefix holds each source's share to less than a block."""
+    _, got = parts(mixed)
+    order = {turn: source for _, source, _, _, _, turn, _ in got}
+    counts = Counter(r[1] for r in got)
+    turns = mixing.turns_of({("-" if k is None else f"={k}"): {"big": 5.0, "small": 3.0}.get(k, 1.0) for k in counts}, 50)
+    seen: Counter = Counter()
+    whole = min(-(-counts[k] // 4) // turns["-" if k is None else f"={k}"] for k in counts) * 50
+    assert whole >= 50
+    for t in range(whole):
+        seen[order[t]] += 1
+        for k in counts:
+            assert abs(seen[k] - Fraction(turns["-" if k is None else f"={k}"] * (t + 1), 50)) < 1
+
+
+def test_sources_share_the_turns_of_those_that_ran_out():
+    phases = mixing.phases_of({"=a": 100, "=b": 10}, {"=a": 1.0, "=b": 1.0}, 10)
+    assert [(p["phase"] >= 0, p["key"], p["turns"]) for p in phases] == [(True, "=a", 5), (True, "=b", 5), (True, "=a", 10)]
+
+
+def test_weights_are_checked():
+    with pytest.raises(ValueError):
+        mixing.turns_of({"=a": 0.0})
+    with pytest.raises(ValueError):
+        mixing.turns_of({f"={i}": 1.0 for i in range(11)}, 10)
+    assert sum(mixing.turns_of({"=a": 1, "=b": 1, "=c": 1}, 1000).values()) == 1000
+
+
+def test_odd_rows_and_empty_table(odd):
+    out = mixing.mixed_rows(odd)
+    assert out.columns == odd.columns
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, odd.collect()))
+    assert mixing.mixed_rows(odd.limit(0)).count() == 0
