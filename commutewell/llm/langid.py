@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from commutewell.llm.common import stored
 
 UNKNOWN = "und"
+LANGUAGES = 500  # languages of a model, the most frequent ones
 TRAIN_DOCS = 1500
 WORDS = 20_000
 GRAMS = 4_000
@@ -54,9 +55,13 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 def training_rows(docs: DataFrame, per_language: int = TRAIN_DOCS) -> DataFrame:
-    """(lang, text) of about ``per_language`` rows of each language, chosen by the id's hash."""
+    """(lang, text) of about ``per_language`` rows of each language, chosen by the id's hash.
+
+    The shares, one line for each of at most LANGUAGES languages, are broadcast: no text is shuffled.
+    """
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
-    share = labelled.groupBy("lang").agg((F.lit(per_language) / F.count("*")).alias("share"))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    share = F.broadcast(sizes.select("lang", (F.lit(per_language) / F.col("n")).alias("share")))
     draw = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1_000_000)) / 1_000_000
     return labelled.select("lang", "text", draw.alias("draw")).join(share, "lang").filter("draw < share").select("lang", "text")
 
