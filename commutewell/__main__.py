@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from commutewell.contract import ACTIVITY
 from commutewell.functions.wire import avro_schema, from_avro_payload, from_json_payload
 from commutewell.operators import facts
@@ -28,7 +30,9 @@ def _parser() -> argparse.ArgumentParser:
         land.add_argument("--topic", default=DEFAULT_TOPIC)
         land.add_argument("--codec", choices=("avro", "json"), default="avro")
         land.add_argument("--schema", help="file with the writer's Avro schema; default: the contract")
+        land.add_argument("--min-partitions", type=int, help="tasks that share the topic's partitions, at least")
         if name == "land-live":
+            land.add_argument("--max-offsets", type=int, help="messages of one micro-batch, at most")
             land.add_argument("--bounded", action="store_true", help="end after what is there now")
     inject = jobs.add_parser("inject", help="drop the events of a CSV file")
     inject.add_argument("csv")
@@ -46,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     jobs.add_parser("health", help="show the health report")
     jobs.add_parser("counts", help="show the fact tables' row counts")
     jobs.add_parser("reset-live", help="empty the facts and process all live files again")
+    jobs.add_parser("expire", help="delete superseded versions of the gold tables")
     return parser
 
 
@@ -58,16 +63,21 @@ def _codec(options: argparse.Namespace):
     return from_avro_payload(avro_schema(ACTIVITY))
 
 
+def _rates(options: argparse.Namespace) -> dict[str, str]:
+    named = {"minPartitions": options.min_partitions, "maxOffsetsPerTrigger": getattr(options, "max_offsets", None)}
+    return {name: str(value) for name, value in named.items() if value is not None}
+
+
 def main(arguments: list[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
     spark = build_session(f"commutewell {options.job}", options.master)
     lake = Lake(spark, options.lake)
     match options.job:
         case "land-history":
-            messages = read_topic(spark, options.servers, options.topic)
+            messages = read_topic(spark, options.servers, options.topic, **_rates(options))
             print(landing.land_history(lake, messages, _codec(options)), "messages landed")
         case "land-live":
-            messages = stream_topic(spark, options.servers, options.topic)
+            messages = stream_topic(spark, options.servers, options.topic, **_rates(options))
             landing.land_live(lake, messages, _codec(options), options.bounded).awaitTermination()
         case "inject":
             print(landing.inject_events(lake, options.csv))
@@ -84,19 +94,21 @@ def main(arguments: list[str] | None = None) -> None:
             parameters = Parameters(
                 bonus_rate=options.rate, live_threshold=options.threshold, live_mode=options.mode
             )
-            print(loads.load_live(lake, parameters), "files processed")
+            print(loads.load_live(lake, parameters), "entries processed")
         case "load-reference":
             print(loads.load_reference(lake, options.csv), "employees loaded")
         case "audit":
             report = reports.audit(lake)
             report["checks"].show(truncate=False)
-            report["alert"].select("message").show(truncate=False)
+            report["alert"].orderBy(F.desc_nulls_last("n")).select(F.coalesce("message", "name").alias("alert")).show(truncate=False)
         case "health":
             print(reports.health_report(lake).first().rapport)
         case "counts":
             reports.fact_counts(lake).show()
         case "reset-live":
             loads.reset_live(lake)
+        case "expire":
+            print(sum(t.expire() for t in (lake.bonus, lake.eligibility, lake.reference, lake.quarantine)), "paths deleted")
 
 
 if __name__ == "__main__":

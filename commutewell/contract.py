@@ -215,7 +215,7 @@ def conform(df: DataFrame, schema: T.StructType, fixed: Mapping[str, object] | N
     """``df`` in exactly the columns, order and types of ``schema``, in one projection.
 
     A column in ``fixed`` takes that value whatever ``df`` holds; a column of ``df`` is cast;
-    anything else is a typed NULL. Text that does not parse becomes NULL.
+    anything else is a typed NULL. A value that does not fit becomes NULL; ``cast_failures`` finds those.
     """
     fixed = fixed or {}
     present = {f.name: f.dataType for f in df.schema.fields}
@@ -230,13 +230,44 @@ def conform(df: DataFrame, schema: T.StructType, fixed: Mapping[str, object] | N
         value = F.col(f.name)
         if present[f.name] == f.dataType:
             return value
-        if isinstance(f.dataType, T.DateType) and isinstance(present[f.name], T.StringType):
-            return as_date(value).alias(f.name)
-        return value.try_cast(f.dataType).alias(f.name)
+        return _converted(value, present[f.name], f.dataType).alias(f.name)
 
     return df.select(*[column(f) for f in schema.fields])
 
 
+def _converted(value: Column, present: T.DataType, wanted: T.DataType) -> Column:
+    if isinstance(wanted, T.DateType) and isinstance(present, T.StringType):
+        return as_date(value)
+    return value.try_cast(wanted)
+
+
+def cast_failures(
+    df: DataFrame, schema: T.StructType, key: str, fixed: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Rows ``(key, column, text)`` for the values that ``conform`` turns into NULL because they do not fit.
+
+    Blank text stands for a missing value and is no failure.
+    """
+    present = {f.name: f.dataType for f in df.schema.fields}
+    failures = []
+    for f in schema.fields:
+        if f.name in (fixed or {}) or f.name not in present or present[f.name] == f.dataType:
+            continue
+        text = F.col(f.name).cast("string")
+        lost = (F.trim(text) != "") & _converted(F.col(f.name), present[f.name], f.dataType).isNull()
+        failures.append(F.when(lost, F.struct(F.lit(f.name).alias("column"), text.alias("text"))))
+    none = F.lit(None).cast("struct<column:string,text:string>")
+    found = F.explode(F.array_compact(F.array(*failures, none))).alias("_failure")
+    return df.select(F.col(key).cast("string").alias("key"), found).select("key", "_failure.*")
+
+
+def require_readable(df: DataFrame, schema: T.StructType, key: str, fixed: Mapping[str, object] | None = None) -> None:
+    """Raise ``ContractViolation``, with a few examples, when a value of ``df`` does not fit ``schema``."""
+    examples = cast_failures(df, schema, key, fixed).limit(5).collect()
+    if examples:
+        raise ContractViolation(f"values that do not fit their column: {[tuple(r) for r in examples]}")
+
+
 def contract_diff(
     contract: T.StructType | Iterable[str],
     columns: Iterable[str],

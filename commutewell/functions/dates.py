@@ -9,18 +9,25 @@ from pyspark.sql import types as T
 # Day and month may be unpadded, the time is optional.
 DAY_FIRST = "d/M/yyyy[ HH:mm:ss]"
 
-
-def as_date(text: Column) -> Column:
-    """Date from ``yyyy-MM-dd[ HH:mm:ss]`` or ``d/M/yyyy``; NULL when neither fits."""
-    text = F.trim(text)
-    return F.coalesce(text.try_cast("date"), F.try_to_timestamp(text, F.lit(DAY_FIRST)).cast("date"))
+# The two notations; text of any other shape (a bare number, a year, a date with a tail) is no date.
+_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?)?$"
+_DAY_FIRST = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}( [0-9]{2}:[0-9]{2}:[0-9]{2})?$"
+_BLANK = " \t\n\x0b\f\r\xa0\ufeff"
 
 
 def as_moment(text: Column) -> Column:
-    """Zone-less timestamp from the same notations."""
-    text = F.trim(text)
+    """Zone-less timestamp from ``yyyy-MM-dd[ HH:mm:ss]`` or ``d/M/yyyy[ HH:mm:ss]``, blanks around it aside.
+
+    NULL for text of any other shape and for days that do not exist.
+    """
+    text = F.btrim(text, F.lit(_BLANK))
     day_first = F.try_to_timestamp(text, F.lit(DAY_FIRST)).cast("timestamp_ntz")
-    return F.coalesce(text.try_cast("timestamp_ntz"), day_first)
+    return F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz")).when(text.rlike(_DAY_FIRST), day_first)
+
+
+def as_date(text: Column) -> Column:
+    """Date of the same notations."""
+    return as_moment(text).cast("date")
 
 
 def moment_of(df: DataFrame, name: str) -> Column:

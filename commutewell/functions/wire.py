@@ -26,8 +26,9 @@ def payload(value: Column) -> Column:
 
 
 def schema_id(value: Column) -> Column:
-    """Id of the schema the message was written with."""
-    return F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("int")
+    """Id of the schema the message was written with: four unsigned bytes, NULL for a shorter message."""
+    header = F.substring(value, 2, 4)
+    return F.when(F.octet_length(header) == 4, F.conv(F.hex(header), 16, 10).cast("bigint"))
 
 
 def avro_schema(record: T.StructType, name: str = "record") -> str:

@@ -32,10 +32,15 @@ def latest_per_key(
 
 
 def one_per_key(df: DataFrame, keys: Iterable[str], newest: Iterable[str | Column] = ()) -> DataFrame:
-    """One row per key: newest first, remaining ties broken by the other columns in schema order."""
+    """One row per key: newest first, remaining ties broken by the other columns in schema order.
+
+    Rank and row travel as one struct, each column once.
+    """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    return latest_per_key(df, keys, [*newest, *rest])
+    ranks = [F.col(c) if isinstance(c, str) else c for c in newest]
+    row = F.struct(*[c.alias(f"_rank{i}") for i, c in enumerate(ranks)], *rest)
+    return df.groupBy(*keys).agg(F.max(row).alias("_best")).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
 def distinct_of(df: DataFrame, *columns: str) -> DataFrame:

@@ -69,39 +69,21 @@ def health(
     return row.withColumn("rapport", _report(load_name))
 
 
-def quality_line() -> Column:
-    """Report line about quarantine, from the columns of ``health``."""
-    percent = F.format_string("%.1f", "ratio_rejet")
-    verdict = F.when(
-        F.col("alerte_qualite"), F.concat(F.lit("⚠️ ALERTE : Ratio de "), percent, F.lit("% > Seuil 50%"))
-    ).otherwise(F.concat(F.lit("OK : Ratio de "), percent, F.lit("% - seuil < 50%")))
-    return F.concat(
-        F.lit("• Lignes en quarantaine : "), F.col("total_rejets").cast("string"), F.lit(" *("), verdict, F.lit(")*")
-    )
-
-
 def _report(load_name: str) -> Column:
+    """Four short lines: verdict, volumes, quarantine, waiting files."""
+    count = lambda name: F.col(name).cast("string")
     alarm = F.col("alerte_qualite") | F.col("alerte_fichiers") | F.col("alerte_vide")
-    state = F.when(alarm, F.lit("❌ *ANOMALIE DÉTECTÉE SUR LE PIPELINE*")).otherwise(
-        F.lit("✅ *PIPELINE 100% OPÉRATIONNEL*")
-    )
-    files = F.when(
-        F.col("alerte_fichiers"),
-        F.concat(
-            F.lit("• ⚠️ *ALERTE :* "),
-            F.col("fichiers_bloques").cast("string"),
-            F.lit(f" fichier(s) bloqué(s) depuis +2h dans `/live` !\n*(Vérifie le statut du flux `{load_name}`)*"),
-        ),
-    ).otherwise(F.lit("• Flux fluide, aucun fichier bloqué en attente (>2h)."))
+    limit = f"{REJECT_LIMIT_PERCENT:g} %"
     return F.concat_ws(
         "\n",
-        F.lit("🥐 *Petit Déjeuner Data* 🥐\n"),
-        F.concat(state, F.lit("\n")),
-        F.lit("📊 *Volumétrie DWH :*"),
-        F.concat(F.lit("• Salariés dans le référentiel : "), F.col("total_salaries").cast("string")),
-        F.concat(F.lit("• Lignes de faits produites : "), F.col("total_faits").cast("string"), F.lit("\n")),
-        F.lit("🧪 *Qualité des Données :*"),
-        F.concat(quality_line(), F.lit("\n")),
-        F.lit("📦 *Stockage (Flux Live) :*"),
-        files,
+        F.when(alarm, "État du jour : à vérifier").otherwise("État du jour : normal"),
+        F.concat(F.lit("Référence : "), count("total_salaries"), F.lit(" salariés, faits : "), count("total_faits"), F.lit(" lignes")),
+        F.concat(
+            F.lit("Quarantaine : "), count("total_rejets"), F.lit(" lignes, soit "), F.format_string("%.1f", "ratio_rejet"),
+            F.when(F.col("alerte_qualite"), f" % (au-dessus de {limit})").otherwise(f" % (limite {limit})"),
+        ),
+        F.concat(
+            F.lit("Fichiers en attente depuis plus de "), F.lit(f"{STUCK_AFTER_MINUTES} min : "), count("fichiers_bloques"),
+            F.when(F.col("alerte_fichiers"), f" (voir {load_name})").otherwise(""),
+        ),
     )

@@ -111,25 +111,23 @@ def failing_people(
     return reference.join(ids, F.col(id_column) == F.col("_id"), "left_semi").select(*take).distinct()
 
 
-def alert_text(people: DataFrame, per_page: int = 500, first: str = "prenom", last: str = "nom") -> DataFrame:
-    """Alert texts that together name everyone in ``people``: ``(page, n, noms, message)``.
+# Fixed value: the sentence that announces how many people failed.
+ALERT = ("⚠️ *Alerte Qualité* : ", " anomalies détectées.")
 
-    ``n`` counts the distinct names. Up to ``per_page`` people give one text. More are spread
-    by a hash of their name over as many texts as needed, so that no text, task or group grows with
-    the data and nobody is left out. No people, no text.
+
+def alert_rows(people: DataFrame, first: str = "prenom", last: str = "nom") -> DataFrame:
+    """The alert about ``people``: one row ``(n, message)`` that counts them and one row ``(name)`` for each.
+
+    ``n`` counts distinct people. Rows have one shape at every size: nothing is gathered, cut or paged. Nobody
+    failing is a single row with the count 0.
     """
     people = people.select(first, last).distinct()
-    total = people.agg(F.count("*").alias("n")).scalar()
-    blank = F.lit("")
-    digest = F.md5(F.concat(F.coalesce(first, blank), F.lit("|"), F.coalesce(last, blank)))
-    spread = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    named = people.select(full_name(F.col(first), F.col(last)).alias("name"), spread.alias("spread"), total.alias("n"))
-    texts = (
-        named.withColumn("page", F.pmod("spread", F.ceil(F.col("n") / per_page)))
-        .groupBy("page", "n")
-        .agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("noms"))
-    )
-    message = F.concat(
-        F.lit("⚠️ *Alerte Qualité* : "), F.col("n").cast("string"), F.lit(" anomalies détectées : "), "noms", F.lit(".")
+    count = people.agg(F.count("*").alias("n"))
+    message = F.concat(F.lit(ALERT[0]), F.col("n").cast("string"), F.lit(ALERT[1]))
+    summary = count.select("n", F.lit(None).cast("string").alias("name"), message.alias("message"))
+    nothing = F.lit(None)
+    return summary.unionByName(
+        people.select(
+            nothing.cast("bigint").alias("n"), full_name(F.col(first), F.col(last)).alias("name"), nothing.cast("string").alias("message")
+        )
     )
-    return texts.select("page", "n", "noms", message.alias("message"))

@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
 from commutewell.contract import (
-    ACTIVITY,
     BONUS_TABLE,
     ELIGIBILITY_TABLE,
     QUARANTINE_TABLE,
     REFERENCE_TABLE,
 )
 from commutewell.operators import facts as op
-from commutewell.operators.merge import unprocessed
 from commutewell.sinks.snapshot import SnapshotTable
-from commutewell.sources.files import entry_of, inventory, read_parquet
+from commutewell.sources.files import inventory
 from commutewell.sources.storage import Storage
 
 
@@ -38,8 +35,8 @@ class Lake:
     """Zones and gold tables under ``root``.
 
     ``history`` and ``live`` hold bronze activities (batch landing and stream landing), ``drops``
-    directories dropped beside the stream. Gold tables are snapshot tables. ``ledger`` holds the
-    file names of every live batch, written before the batch is processed.
+    directories dropped beside the stream. A live batch moves its entries from both to ``taken`` and, when it is
+    finished, to ``archive``. Gold tables are snapshot tables.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -49,6 +46,8 @@ class Lake:
         self.history = f"{self.root}/bronze/historique"
         self.live = f"{self.root}/bronze/live"
         self.drops = f"{self.root}/bronze/drops"
+        self.taken = f"{self.root}/bronze/taken"
+        self.archive = f"{self.root}/bronze/archive"
         self.checkpoints = f"{self.root}/checkpoints"
         self.messages = f"{self.root}/messages"
         self.undated = f"{self.root}/undated"
@@ -58,54 +57,47 @@ class Lake:
         self.reference = SnapshotTable(spark, f"{self.root}/gold/ref_salaries", REFERENCE_TABLE)
         self.quarantine = SnapshotTable(spark, f"{self.root}/gold/soda_failed_rows", QUARANTINE_TABLE)
 
-    # --- ledger of live batches ---
-
-    def ledger_files(self) -> DataFrame:
-        """``file_path`` of every file in a live batch, finished or not."""
-        return read_parquet(self.spark, f"{self.ledger}/files", "file_path string, batch int")
+    # --- live batches ---
 
     def _finished(self) -> int:
-        """Id of the last finished batch; -1 before the first."""
-        return max((int(n) for n in self.storage.names(f"{self.ledger}/done") if n.isdigit()), default=-1)
+        """Number of the last finished batch; -1 before the first."""
+        names = self.storage.names(self.archive)
+        return max((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), default=-1)
 
-    def new_files(self) -> DataFrame:
-        """``file_path`` of the committed bronze files that no live batch holds.
+    def waiting(self, zone: str) -> list[str]:
+        """Names of the entries of a live zone that no batch has taken; hidden drafts aside."""
+        return [n for n in self.storage.names(zone) if n.endswith(".parquet") and not n.startswith(("_", "."))]
 
-        Only names are listed here, as every Spark scan lists them; no file is opened.
-        """
-        found = []
-        for zone in (self.live, f"{self.drops}/*.parquet"):
-            found += read_parquet(self.spark, zone, ACTIVITY).inputFiles()
-        # One spelling per file: "scheme:///path" and "scheme:/path" are the same.
-        listed = self.spark.createDataFrame([(re.sub(r"^(\w+):///", r"\1:/", path),) for path in found], "file_path string")
-        return unprocessed(listed, self.ledger_files(), "file_path")
-
-    def next_batch(self) -> tuple[int, list[str]]:
-        """Id and files of the batch to process: an unfinished one again, else all new files.
-
-        The file list is stored before it is returned, so a repeated attempt works on the same
-        files whatever arrived since. No files means nothing to do.
+    def next_batch(self) -> tuple[int, str, int]:
+        """Number, directory and number of entries of the batch to process: an unfinished one again, else what waits.
+
+        Entries are taken by renaming them into the batch's directory, so the live zones only hold what waits and
+        no list of files is kept. Once all are taken a mark closes the batch: a repeated attempt works on the
+        same entries whatever arrived since.
         """
         number = self._finished() + 1
-        folder = f"{self.ledger}/files/batch={number}"
-        # The list is one file, so it is there as a whole or not at all.
-        found = [row.file_path for row in read_parquet(self.spark, folder, "file_path string").collect()]
-        if not found:
-            found = [row.file_path for row in self.new_files().collect()]
-            if found:
-                listed = self.spark.createDataFrame([(path,) for path in found], "file_path string")
-                listed.coalesce(1).write.mode("overwrite").parquet(folder)
-        return number, [unquote(path) for path in found]
+        folder, mark = f"{self.taken}/batch={number}", f"{self.ledger}/closed-{number}"
+        if not self.storage.exists(mark):
+            for zone in (self.live, self.drops):
+                for entry in self.waiting(zone):
+                    self.storage.rename(f"{zone}/{entry}", f"{folder}/{zone.rsplit('/', 1)[1]}-{entry}")
+            if self.storage.names(folder):
+                self.storage.make_dirs(self.ledger)
+                self.storage.create_text(mark, "")
+        return number, folder, len(self.storage.names(folder))
 
     def finish_batch(self, number: int) -> None:
-        """Mark batch ``number`` as completely processed."""
-        self.storage.make_dirs(f"{self.ledger}/done")
-        self.storage.create_text(f"{self.ledger}/done/{number}", "")
+        """Archive batch ``number``, which is completely processed."""
+        self.storage.rename(f"{self.taken}/batch={number}", f"{self.archive}/batch={number}")
+        self.storage.delete(f"{self.ledger}/closed-{number}")
+
+    def restore_batches(self) -> None:
+        """Put every batch back as an entry of the drop zone: one rename for each."""
+        for zone in (self.archive, self.taken):
+            for name in self.storage.names(zone):
+                self.storage.rename(f"{zone}/{name}", f"{self.drops}/again-{uuid.uuid4().hex}.parquet")
+        self.storage.delete(self.ledger)
 
     def waiting_entries(self) -> DataFrame:
-        """Inventory of the live zones without the entries whose files are all in a batch."""
-        parts = []
-        for zone in (self.live, self.drops):
-            seen = self.ledger_files().select(entry_of(self.spark, zone, "file_path").alias("entry"))
-            parts.append(unprocessed(inventory(self.spark, zone), seen, "entry"))
-        return parts[0].unionByName(parts[1])
+        """Inventory of what waits in the live zones."""
+        return inventory(self.spark, self.live).unionByName(inventory(self.spark, self.drops))

@@ -25,5 +25,5 @@ def land_live(lake: Lake, messages: DataFrame, codec, bounded: bool = False) ->
 
 
 def inject_events(lake: Lake, csv_path: str, name: str | None = None) -> str:
-    """Drop the events of a CSV file beside the live stream; returns the new directory."""
+    """Drop the events of a CSV file beside the live stream, each read by the contract; returns the new directory."""
     return drop_batch(read_activity_csv(lake.spark, csv_path), lake.drops, name, files=1)

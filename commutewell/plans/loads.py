@@ -6,24 +6,26 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commutewell.contract import ACTIVITY, CSV_FIXED, HISTORY_FIXED, REFERENCE, conform, contract_diff
+from commutewell.contract import ACTIVITY, CSV_FIXED, HISTORY_FIXED, REFERENCE, conform, contract_diff, require_readable
 from commutewell.functions.dates import moment_of
 from commutewell.operators import facts as op
 from commutewell.operators.dedup import one_per_key
 from commutewell.operators.quality import undated
 from commutewell.plans.lake import Lake, Parameters
 from commutewell.sources.files import read_activities, read_hr_csv
-from commutewell.streaming.facts import GEO_UPDATE, merge_facts
+from commutewell.streaming.facts import GEO_UPDATE, LIVE, merge_facts
 
 
 def load_history(lake: Lake, parameters: Parameters = Parameters()) -> None:
     """Facts and reference from the whole history zone; the zone must exist.
 
     Facts are refreshed in full. The reference takes every employee's latest record by upsert of all
-    columns.
+    columns. Activities that no fact counts are set aside.
     """
-    load_history_facts(lake, read_activities(lake.spark, lake.history, required=True), parameters)
-    load_history_reference(lake, read_activities(lake.spark, lake.history, required=True))
+    activities = read_activities(lake.spark, lake.history, required=True)
+    load_history_facts(lake, activities, parameters)
+    load_history_reference(lake, activities)
+    undated(activities).write.mode("overwrite").parquet(f"{lake.undated}/history")
 
 
 def load_history_facts(lake: Lake, activities: DataFrame, parameters: Parameters = Parameters()) -> None:
@@ -32,7 +34,7 @@ def load_history_facts(lake: Lake, activities: DataFrame, parameters: Parameters
     try:
         lake.bonus.replace(op.distance_bonus_from_summary(summary, parameters.one_way_km, parameters.euro_per_km))
         lake.eligibility.replace(
-            op.eligibility_from_summary(summary, parameters.history_threshold, source=op.HISTORY)
+            op.eligibility_from_summary(summary, parameters.history_threshold, source=op.HISTORY), unique_source=True
         )
     finally:
         summary.unpersist()
@@ -48,16 +50,17 @@ def load_history_reference(lake: Lake, activities: DataFrame) -> None:
 
 
 def load_live(lake: Lake, parameters: Parameters = Parameters()) -> int:
-    """Process the bronze files that arrived since the last run; returns how many.
+    """Process the bronze entries that arrived since the last run; returns how many.
 
     Merges facts and reference, writes one congratulation per sport activity and sets undated
-    activities aside. No new files is a normal, empty run. Every step knows the batch's number, so
+    activities aside. Nothing new is a normal, empty run. Every step knows the batch's number, so
     an interrupted run is simply started again.
     """
-    number, files = lake.next_batch()
-    if not files:
+    number, folder, entries = lake.next_batch()
+    if not entries:
         return 0
-    activities = read_activities(lake.spark, files)
+    # Entries nest; nothing in their names is a partition column.
+    activities = lake.spark.read.schema(ACTIVITY).option("recursiveFileLookup", "true").parquet(folder)
     merge_facts(
         activities,
         number,
@@ -67,29 +70,37 @@ def load_live(lake: Lake, parameters: Parameters = Parameters()) -> int:
         rate=parameters.bonus_rate,
         threshold=parameters.live_threshold,
     )
-    lake.reference.merge(op.geo_update(activities), GEO_UPDATE, unique_source=True, stream="live", batch=number)
+    lake.reference.merge(op.geo_update(activities), GEO_UPDATE, unique_source=True, stream=LIVE, batch=number)
     op.congratulations(activities).write.mode("overwrite").parquet(f"{lake.messages}/batch={number}")
-    undated(activities).write.mode("overwrite").parquet(f"{lake.undated}/batch={number}")
+    undated(activities).write.mode("overwrite").parquet(f"{lake.undated}/{LIVE}-{number}")
     lake.finish_batch(number)
-    return len(files)
+    return entries
 
 
 def load_reference(lake: Lake, csv_path: str) -> int:
     """Replace the reference by an HR export; returns the number of employees.
 
-    Stops when the table lacks a field of the activity contract.
+    Stops when the stored table lacks a field of the activity contract, and when a value of the export does not
+    fit its column; the old table then stays.
     """
-    contract_diff(ACTIVITY, REFERENCE.names)
-    return lake.reference.replace(conform(read_hr_csv(lake.spark, csv_path), REFERENCE, CSV_FIXED))
+    stored = lake.reference.stored_columns()
+    if stored is not None:
+        contract_diff(ACTIVITY, stored)
+    export = read_hr_csv(lake.spark, csv_path)
+    require_readable(export, REFERENCE, "id_salarie", CSV_FIXED)
+    return lake.reference.replace(conform(export, REFERENCE, CSV_FIXED))
 
 
 def reset_live(lake: Lake) -> None:
-    """Empty both facts and forget which files were processed, so that they are all processed again.
+    """Empty both facts and put the processed batches back, so that they are all processed again.
 
-    Bronze files never move, so none has to be moved back.
+    What was set aside from other origins stays.
     """
     lake.bonus.clear()
     lake.eligibility.clear()
-    lake.reference.forget("live")
-    for folder in (lake.ledger, lake.messages, lake.undated):
-        lake.storage.delete(folder)
+    lake.reference.forget(LIVE)
+    lake.storage.delete(lake.messages)
+    for name in lake.storage.names(lake.undated):
+        if name.startswith(f"{LIVE}-"):
+            lake.storage.delete(f"{lake.undated}/{name}")
+    lake.restore_batches()

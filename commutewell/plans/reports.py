@@ -32,7 +32,7 @@ def audit(lake: Lake) -> dict[str, DataFrame]:
     return {
         "checks": reduce(DataFrame.unionByName, checks),
         "people": people,
-        "alert": quality.alert_text(people),
+        "alert": quality.alert_rows(people),
     }
 
 

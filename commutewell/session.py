@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,6 +29,7 @@ CLUSTER_CONF = {
 CLUSTER_PARTITIONS = "8192"
 LOCAL_PARTITIONS = "8"
 _PARTITIONS = "spark.sql.shuffle.partitions"
+_SPARK_DEFAULT = "200"
 
 
 def build_session(app: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -43,18 +45,26 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
     for key, value in {**CLUSTER_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    if spark.conf.get(_PARTITIONS) == "200":  # Spark's own default: nobody chose it
-        local = spark.sparkContext.master.startswith("local")
-        spark.conf.set(_PARTITIONS, LOCAL_PARTITIONS if local else CLUSTER_PARTITIONS)
+    chosen = _PARTITIONS in (conf or {}) or spark.sparkContext.getConf().contains(_PARTITIONS)
+    if not chosen and spark.conf.get(_PARTITIONS) == _SPARK_DEFAULT:
+        spark.conf.set(_PARTITIONS, LOCAL_PARTITIONS if _one_machine(spark) else CLUSTER_PARTITIONS)
     return spark
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    """Do driver and executors share one process, and so one disk?"""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path for ``name`` below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a session that names no such folder (a test on one machine) gets a temporary one.
+    Only a session on one machine that names no such folder (a test) gets a temporary one; a cluster without
+    a shared folder is an error, as its executors would write to disks that nobody else reads.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not _one_machine(spark):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="commutewell-")
         spark.conf.set("spark.checkpoint.dir", base)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from commutewell.sources.storage import Storage
+
 
 def overwrite(df: DataFrame, path: str, files: int | None = None) -> int:
     """Replace the zone at ``path`` by ``df`` and return the number of rows written.
@@ -22,10 +25,21 @@ def overwrite(df: DataFrame, path: str, files: int | None = None) -> int:
 def drop_batch(df: DataFrame, zone: str, name: str | None = None, files: int | None = None) -> str:
     """Write ``df`` as the new directory ``zone/<name>.parquet`` and return its path.
 
-    Without a ``name`` the directory is named after the present second. No success marker is left.
+    Without a ``name`` the directory is named after the present second. The directory appears as a whole: it
+    is written under a hidden name and then renamed. No success marker is left.
     """
     name = name or f"test_batch_{datetime.now():%Y%m%d_%H%M%S}"
-    path = f"{zone.rstrip('/')}/{name}.parquet"
+    zone = zone.rstrip("/")
     out = df if files is None else df.coalesce(files)
-    out.write.mode("error").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
-    return path
+    put_entry(out, zone, f"{name}.parquet", f"{zone}/_draft-{name}-{uuid.uuid4().hex}")
+    return f"{zone}/{name}.parquet"
+
+
+def put_entry(df: DataFrame, zone: str, entry: str, draft: str) -> None:
+    """Write ``df`` to the hidden directory ``draft`` and rename it to ``zone/entry``, which must not exist."""
+    storage = Storage(df.sparkSession)
+    if storage.exists(f"{zone}/{entry}"):
+        raise FileExistsError(f"{zone}/{entry}")
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(draft)
+    if not storage.rename(draft, f"{zone}/{entry}"):
+        raise FileExistsError(f"{zone}/{entry}")

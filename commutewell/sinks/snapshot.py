@@ -26,6 +26,10 @@ class ConcurrentCommit(RuntimeError):
     """Another load committed the table in the meantime."""
 
 
+class ImpossibleBatch(RuntimeError):
+    """A batch number below what its stream may repeat: two origins share a stream's name."""
+
+
 class SnapshotTable:
     """The table ``contract`` under ``root``."""
 
@@ -67,22 +71,34 @@ class SnapshotTable:
         reader = self.spark.read.schema(self.contract.schema).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*self.contract.columns)
 
+    def stored_columns(self) -> list[str] | None:
+        """Columns of the stored files, whatever the contract says; None for a table without rows."""
+        located = self._state()["parts"]
+        if not located:
+            return None
+        part, version = next(iter(located.items()))
+        stored = self.spark.read.parquet(self._directory(version, part)).columns
+        return stored + ([self.contract.partition_by] if part != WHOLE else [])
+
     def _directory(self, version: int, part: str = WHOLE) -> str:
         path = f"{self.root}/data/v={version}"
         return path if part == WHOLE else f"{path}/{self.contract.partition_by}={part}"
 
     # --- writing ---
 
-    def replace(self, df: DataFrame, stream: str | None = None, batch: int | None = None) -> int:
+    def replace(
+        self, df: DataFrame, stream: str | None = None, batch: int | None = None, unique_source: bool = False
+    ) -> int:
         """Full refresh by ``df``; returns the number of rows.
 
         Refused, with the old table left in place, when ``df`` breaks the contract's keys or
-        required columns.
+        required columns. ``unique_source`` says that ``df`` is grouped by the keys, which spares the
+        shuffle that looks for keys held twice.
         """
         state = self._state()
         version = self._write(self.contract.enforce(df), state)
         written = self._written(version)
-        if self.contract.keys:
+        if self.contract.keys and not unique_source:
             twice = self.contract.key_violations(written).limit(5).collect()
             if twice:
                 raise ContractViolation(f"{self.contract.name}: keys held by several rows, such as {twice}")
@@ -90,6 +106,20 @@ class SnapshotTable:
         self._commit(state, version, located, stream, batch)
         return written.count()
 
+    def expire(self) -> int:
+        """Delete superseded commits and the data directories that the newest one does not use; returns how many.
+
+        For times without readers of older versions and without a running load.
+        """
+        state = self._state()
+        used = {f"v={v}" for v in state["parts"].values()}
+        old = [f"{self.root}/data/{n}" for n in self._storage.names(f"{self.root}/data") if n not in used]
+        newest = f"{state['commit']:012d}.json"
+        old += [f"{self.root}/commits/{n}" for n in self._storage.names(f"{self.root}/commits") if n < newest]
+        for path in old:
+            self._storage.delete(path)
+        return len(old)
+
     def clear(self) -> None:
         """Empty the table and forget which stream batches it holds."""
         state = self._state()
@@ -111,12 +141,15 @@ class SnapshotTable:
     ) -> bool:
         """Keyed upsert of ``source``; rewrites only the partitions that ``source`` touches.
 
-        With ``stream`` and ``batch`` a batch that is already in the table is skipped (False), which
-        makes replays harmless. A row without a full key is refused, as in ``replace``. The source of
+        With ``stream`` and ``batch`` the last batch of that stream is skipped when it comes again (False), which
+        makes replays harmless; a lower number raises ``ImpossibleBatch``. A row without a full key is refused, as in ``replace``. The source of
         a partitioned table is read twice: persist it when it is costly.
         """
         state = self._state()
-        if stream is not None and state["applied"].get(stream, -1) >= batch:
+        last = -1 if stream is None else state["applied"].get(stream, -1)
+        if stream is not None and batch < last:
+            raise ImpossibleBatch(f"{self.contract.name}: batch {batch} of {stream!r} after batch {last}")
+        if stream is not None and batch == last:
             return False
         partition = self.contract.partition_by
         # One value per partition directory (civil years), so this list stays small.

@@ -49,8 +49,21 @@ class Storage:
         finally:
             stream.close()
 
+    def rename(self, source: str, target: str) -> bool:
+        """Move a file or directory within its file system; False when ``target`` exists."""
+        fs, old = self._open(source)
+        _, new = self._open(target)
+        if fs.exists(new):
+            return False
+        fs.mkdirs(new.getParent())
+        return fs.rename(old, new)
+
     def create_text(self, path: str, text: str) -> bool:
-        """Write a new file in one step; False when ``path`` exists already."""
+        """Write a new file in one step; False when ``path`` exists already.
+
+        A finished draft is renamed, so no reader sees half a file. Where a rename to an existing name fails, as on
+        HDFS, one of two writers loses; object stores without such a rename are no place for snapshot tables.
+        """
         fs, hadoop_path = self._open(path)
         fs, draft = self._open(f"{path}.{self._jvm.java.util.UUID.randomUUID().toString()}.tmp")
         stream = fs.create(draft, True)

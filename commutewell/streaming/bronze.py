@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from commutewell.sources.storage import Storage
+
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
     """Unbounded frame over the Parquet files that arrive under ``path`` (a directory or a glob).
@@ -15,18 +19,34 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType, **options
     return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the streaming query that ``checkpoint`` belongs to; it survives restarts."""
+    return json.loads(Storage(spark).read_text(f"{checkpoint}/metadata"))["id"]
+
+
 def land(records: DataFrame, path: str, checkpoint: str, bounded: bool = False) -> StreamingQuery:
     """Append ``records`` to the Parquet zone ``path``, each exactly once.
 
-    The checkpoint remembers the position, so a restart goes on where the last run stopped. Readers
-    of the directory see only committed files. A ``bounded`` run takes what is there and ends.
+    Every micro-batch becomes one directory ``path/<query>-<batch>.parquet`` that appears as a whole and may be
+    taken away by a reader at any time. A batch that is repeated after a failure is recognised by a mark in the
+    checkpoint, made between writing the directory under a hidden name and renaming it. The checkpoint remembers
+    the position, so a restart goes on where the last run stopped. A ``bounded`` run takes what is there and ends.
     """
-    writer = (
-        records.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    spark = records.sparkSession
+    storage = Storage(spark)
+
+    def append(batch: DataFrame, number: int) -> None:
+        name = f"{query_id(spark, checkpoint)}-{number:012d}"
+        draft, mark = f"{path}/_draft-{name}", f"{checkpoint}/landed/{name}"
+        if not storage.exists(mark):
+            batch.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(draft)
+            storage.make_dirs(f"{checkpoint}/landed")
+            storage.create_text(mark, "")
+        if storage.exists(draft):
+            storage.rename(draft, f"{path}/{name}.parquet")
+        storage.delete(f"{checkpoint}/landed/{query_id(spark, checkpoint)}-{number - 1:012d}")
+
+    writer = records.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     if bounded:
         writer = writer.trigger(availableNow=True)
     return writer.start()

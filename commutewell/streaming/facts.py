@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from commutewell.operators import facts as op
+from commutewell.operators import quality
 from commutewell.operators.merge import Update, add, take_new
 from commutewell.sinks.snapshot import SnapshotTable
+from commutewell.streaming.bronze import query_id
 
 # Columns a key match updates; the others keep what the first load wrote.
 BONUS_UPDATE = ("montant_prime", "date_calcul_dwh")
 ELIGIBILITY_UPDATE = ("nombre_activites_total", "est_eligible", "date_calcul_dwh")
 GEO_UPDATE = ("distance_km", "latitude", "longitude", "evolution_conges", "date_geocodage")
 
+LIVE = "live"  # origin of the batches that the live load numbers
+
 REPLACE = "replace"
 ACCUMULATE = "accumulate"
 
@@ -46,7 +50,7 @@ def merge_facts(
     batch: int,
     eligibility: SnapshotTable,
     bonus: SnapshotTable | None = None,
-    stream: str = "live",
+    stream: str = LIVE,
     mode: str = REPLACE,
     rate: float = op.BONUS_RATE,
     threshold: int = op.LIVE_THRESHOLD,
@@ -72,6 +76,7 @@ def stream_facts(
     activities: DataFrame,
     checkpoint: str,
     eligibility: SnapshotTable,
+    undated: str,
     bonus: SnapshotTable | None = None,
     bounded: bool = False,
     **options,
@@ -79,11 +84,16 @@ def stream_facts(
     """Merge every micro-batch of ``activities`` into the fact tables (options of ``merge_facts``).
 
     A micro-batch frame computes all columns of the streaming plan, so the plan is cut down to the
-    facts' columns first. Replayed batches are recognised by the tables.
+    facts' columns first. Batches are numbered under the query's own id, so that no other load of the same
+    tables is mistaken for this one; replayed batches are recognised by the tables. Activities that no fact
+    counts go to a directory per batch below ``undated``.
     """
+    spark = activities.sparkSession
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge_facts(batch, batch_id, eligibility, bonus, **options)
+        stream = f"stream-{query_id(spark, checkpoint)}"
+        merge_facts(batch, batch_id, eligibility, bonus, stream=stream, **options)
+        quality.undated(batch).write.mode("overwrite").parquet(f"{undated}/{stream}-{batch_id}")
 
     writer = activities.select(*FACT_COLUMNS).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if bounded:

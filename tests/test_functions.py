@@ -83,17 +83,29 @@ def test_full_name_is_never_null(spark):
     assert df.select(full_name(F.col("p"), F.col("n"))).first()[0] == "Collaborateur"
 
 
-def great_circle(lat1, lon1, lat2, lon2):
-    to = math.radians
-    a = math.sin(to(lat2 - lat1) / 2) ** 2 + math.cos(to(lat1)) * math.cos(to(lat2)) * math.sin(to(lon2 - lon1) / 2) ** 2
-    return 2 * 6371 * math.atan2(math.sqrt(a), math.sqrt(1 - a))
+@pytest.mark.parametrize(
+    ("points", "km"),
+    [
+        ((0.0, 0.0, 0.0, 0.0), 0.0),
+        ((0.0, 0.0, 0.0, 180.0), math.pi * 6371),  # half the equator
+        ((90.0, 0.0, 0.0, 77.0), math.pi / 2 * 6371),  # pole to equator
+        ((0.0, 10.0, 0.0, 11.0), math.pi / 180 * 6371),  # one degree of the equator
+        ((10.0, 179.5, 10.0, -179.5), 109.505),  # across the date line
+        ((48.8566, 2.3522, 51.5074, -0.1278), 343.6),  # Paris to London
+    ],
+)
+def test_known_distances(spark, points, km):
+    df = spark.createDataFrame([points], "a double, b double, c double, d double")
+    assert df.select(haversine_km(*map(F.col, "abcd"))).first()[0] == pytest.approx(km, rel=1e-3, abs=1e-9)
 
 
-def test_haversine(spark):
-    points = [(43.6, 3.9, 48.85, 2.35), (0.0, 0.0, 0.0, 0.0), (-33.9, 18.4, 51.5, -0.1)]
-    df = spark.createDataFrame(points, "a double, b double, c double, d double")
+def test_distance_agrees_with_the_law_of_cosines(spark):
+    there, back = (43.6, 3.9, -33.9, 18.4), (-33.9, 18.4, 43.6, 3.9)
+    df = spark.createDataFrame([there, back], "a double, b double, c double, d double")
     found = [r[0] for r in df.select(haversine_km(*map(F.col, "abcd"))).collect()]
-    assert found == pytest.approx([great_circle(*p) for p in points])
+    a, b, c, d = map(math.radians, there)
+    angle = math.acos(math.sin(a) * math.sin(c) + math.cos(a) * math.cos(c) * math.cos(b - d))
+    assert found == pytest.approx([6371 * angle] * 2)
 
 
 def test_haversine_of_missing_coordinates(spark):
@@ -151,3 +163,34 @@ def test_avro_codec(spark):
         assert error.getCondition() == "AVRO_NOT_LOADED_SQL_FUNCTIONS_UNUSABLE"
         pytest.skip("Spark's Avro module is not on the class path")
     assert [tuple(r) for r in records.collect()] == [(1, "é"), (2, None)]
+
+
+@pytest.mark.parametrize(
+    ("text", "date"),
+    [
+        ("2026-01-31", "2026-01-31"), (" 2026-01-31 08:00:00\t", "2026-01-31"), ("\t31/1/2026", "2026-01-31"), ("31/01/2026 08:00:00", "2026-01-31"),
+        ("2026-01-31T08:00:00", "2026-01-31"), ("45321", None), ("2026", None), ("2026-05", None), ("2026-01-01 foo", None), ("31/2/2026", None),
+        ("2026-02-30", None), ("1/13/2026", None), ("", None), (None, None),
+    ],
+)
+def test_only_the_two_notations_are_dates(spark, text, date):
+    from commutewell.functions.dates import as_date, as_moment
+
+    row = spark.createDataFrame([(text,)], "t string").select(as_date(F.col("t")), as_moment(F.col("t"))).first()
+    assert (None if row[0] is None else str(row[0])) == date and (row[1] is None) == (date is None)
+
+
+def test_any_header_has_a_schema_id(spark):
+    from commutewell.functions.wire import schema_id
+
+    values = [(bytearray(b"\x00\xff\xff\xff\xff{}"),), (bytearray(b"\x00\x00\x00\x00\x07{}"),), (bytearray(b"\x00\x01"),), (None,)]
+    found = [r[0] for r in spark.createDataFrame(values, "value binary").select(schema_id(F.col("value"))).collect()]
+    assert found == [2**32 - 1, 7, None, None]
+
+
+def test_a_place_listed_twice_doubles_nothing(spark):
+    from commutewell.operators.lookup import geocode
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, address string")
+    places = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 9.0)], "address string, lat double")
+    assert sorted(map(tuple, geocode(df, places, "address").select("id", "lat").collect())) == [(1, 1.0), (2, None), (3, None)]

@@ -48,26 +48,23 @@ def test_failing_people_are_distinct_names(spark):
     assert rows(quality.failing_people(df, rejected)) == [("A", "x"), ("B", None)]
 
 
-def test_alert_text_on_one_page(spark):
-    people = spark.createDataFrame([("A", "x"), ("B", None), ("", ""), (None, None)], "nom string, prenom string")
-    row = quality.alert_text(people).collect()
-    assert len(row) == 1 and row[0].n == 4
-    assert row[0].message == (
-        "⚠️ *Alerte Qualité* : 4 anomalies détectées : B, Collaborateur, Collaborateur, x A."
+def test_alert_has_one_row_per_person_and_a_count(spark):
+    people = spark.createDataFrame([("A", "x"), ("B", None), ("", ""), (None, None), ("A", "x")], "nom string, prenom string")
+    assert rows(quality.alert_rows(people)) == sorted(
+        [(4, None, "⚠️ *Alerte Qualité* : 4 anomalies détectées."), *[(None, n, None) for n in ("x A", "B", "Collaborateur", "Collaborateur")]],
+        key=repr,
     )
 
 
-def test_alert_text_spreads_many_people_and_loses_none(spark):
-    people = spark.range(1000).selectExpr("concat('n', id) nom", "'p' prenom")
-    pages = quality.alert_text(people, per_page=50).collect()
-    names = [name for page in pages for name in page.noms.split(", ")]
-    assert sorted(names) == sorted(f"p n{i}" for i in range(1000))
-    assert {p.n for p in pages} == {1000} and 15 <= len(pages) <= 20
-    assert max(len(p.noms.split(", ")) for p in pages) < 100
+def test_alert_has_the_same_shape_at_every_size(spark):
+    alert = quality.alert_rows(spark.range(1000).selectExpr("concat('n', id) nom", "'p' prenom")).collect()
+    assert sorted(r.name for r in alert if r.name) == sorted(f"p n{i}" for i in range(1000))
+    assert [r.n for r in alert if r.message] == [1000]
 
 
-def test_no_people_no_alert(spark):
-    assert rows(quality.alert_text(spark.createDataFrame([], "nom string, prenom string"))) == []
+def test_nobody_failing_counts_zero(spark):
+    alert = quality.alert_rows(spark.createDataFrame([], "nom string, prenom string"))
+    assert rows(alert) == [(0, None, "⚠️ *Alerte Qualité* : 0 anomalies détectées.")]
 
 
 def health(spark, people, facts, rejects, stuck=None, **options):
@@ -87,23 +84,21 @@ def test_reject_ratio(spark, facts, rejects, ratio, alarm):
 def test_report_of_a_healthy_lake(spark):
     text = health(spark, 3, 9, 1, 0).rapport
     assert text == (
-        "🥐 *Petit Déjeuner Data* 🥐\n\n✅ *PIPELINE 100% OPÉRATIONNEL*\n\n"
-        "📊 *Volumétrie DWH :*\n• Salariés dans le référentiel : 3\n• Lignes de faits produites : 9\n\n"
-        "🧪 *Qualité des Données :*\n• Lignes en quarantaine : 1 *(OK : Ratio de 10.0% - seuil < 50%)*\n\n"
-        "📦 *Stockage (Flux Live) :*\n• Flux fluide, aucun fichier bloqué en attente (>2h)."
+        "État du jour : normal\nRéférence : 3 salariés, faits : 9 lignes\n"
+        "Quarantaine : 1 lignes, soit 10.0 % (limite 50 %)\nFichiers en attente depuis plus de 120 min : 0"
     )
 
 
 def test_report_of_stuck_files_and_rejects(spark):
     row = health(spark, 3, 1, 3, 2, load_name="nightly")
-    assert row.alerte_fichiers and "❌ *ANOMALIE DÉTECTÉE SUR LE PIPELINE*" in row.rapport
-    assert "*(⚠️ ALERTE : Ratio de 75.0% > Seuil 50%)*" in row.rapport
-    assert row.rapport.endswith("2 fichier(s) bloqué(s) depuis +2h dans `/live` !\n*(Vérifie le statut du flux `nightly`)*")
+    assert row.alerte_fichiers and row.rapport.startswith("État du jour : à vérifier\n")
+    assert "soit 75.0 % (au-dessus de 50 %)" in row.rapport
+    assert row.rapport.endswith("plus de 120 min : 2 (voir nightly)")
 
 
 def test_empty_facts_rule_is_an_option(spark):
     assert not health(spark, 3, 0, 0).alerte_vide
-    assert "ANOMALIE" in health(spark, 3, 0, 0, alarm_when_empty=True).rapport
+    assert "à vérifier" in health(spark, 3, 0, 0, alarm_when_empty=True).rapport
 
 
 def test_table_counts_are_a_set(spark):

@@ -127,3 +127,15 @@ def test_unpartitioned_table_with_all_column_upsert(spark, tmp_path):
     table.merge(spark.createDataFrame([(2, "c", None)], "id_salarie int, nom string, prenom string"))
     assert rows(table.read(), "id_salarie", "nom", "prenom") == [(1, "a", "x"), (2, "c", None)]
     assert len(list(Path(tmp_path, "r", "commits").glob("*.json"))) == 2
+
+
+def test_expiry_keeps_the_newest_version_only(spark, table, tmp_path):
+    for n in (1, 2, 3):
+        table.merge(facts(spark, (n, 2025, n), (n, 2026, n)), UPDATE, stream="s", batch=n)
+    table.merge(facts(spark, (1, 2026, 9)), UPDATE, stream="s", batch=4)
+    before = rows(table.read(), *SHOWN)
+    assert table.expire() > 0
+    assert rows(table.read(), *SHOWN) == before and table.applied("s") == 4
+    assert sorted(p.name for p in Path(tmp_path, "t", "data").glob("v=*")) == ["v=3", "v=4"]
+    table.merge(facts(spark, (8, 2025, 1)), UPDATE)
+    assert table.read().count() == len(before) + 1
