@@ -97,5 +97,19 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 20"""
 
 
+_NEAR_SQL = r"""
+WITH RECURSIVE
+  w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+  s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
+               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS sh FROM w),
+  e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+  p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  l AS (SELECT a, b FROM p JOIN s x ON a = x.doc_id JOIN s y ON b = y.doc_id WHERE 100 * n >= 75 * (len(x.sh) + len(y.sh) - n)),
+  r AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+  c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c ON doc_id = a"""
+
+
 def oracle_sql():
-    return {"op2_vector_approximation": _TOP_K_SQL, "op5_sentence_rules": _licenses_sql()}
+    return {"op2_vector_approximation": _TOP_K_SQL, "op5_sentence_rules": _licenses_sql(), "op10_minhash_near_dedup": _NEAR_SQL}
