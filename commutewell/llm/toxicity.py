@@ -8,7 +8,8 @@ score.
 
 Everything is learned from a hash sample of about ``TRAIN_DOCS`` distinct labelled texts per class. Entries are
 chosen by greedy cover: each must lie in texts of the toxic class that few entries cover yet, and hardly in any
-others. The sample bounds what the driver holds; the whole texts of all rows are then scored in Spark.
+others. The sample's texts stay in Spark; the driver holds terms, numbers and densities. Then the whole texts of all
+rows are scored in Spark.
 
 Defined results: NULL and empty texts score the curve's value at density 0; without labels of both classes,
 or if they teach no entry, every score is 0; repeated rows count once in training and are scored each; NULL labels teach nothing. Only
@@ -21,7 +22,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -199,50 +200,89 @@ def chosen(candidates: dict[str, tuple[int, int]], cover: list[set[str]], sizes:
     return out
 
 
-def exceptions_of(lexicon: Lexicon, clean: list[list[str]], toxic: list[list[str]]) -> set[str]:
-    """Words and pairs of words around an entry that occur in clean texts and hardly in toxic ones."""
+def contexts_of(lexicon: Lexicon, words: list[str]) -> set[str]:
+    """Words around the entries found, and pairs of words with the one before or after."""
+    out = set()
+    line = f" {' '.join(words)} "
+    for start, end, _ in lexicon.matches(words):
+        stop = line.index(" ", max(end - 1, start + 1))
+        out.add(line[start : stop + 1])
+        before, after = line.rfind(" ", 0, start), line.find(" ", stop + 1)
+        if before >= 0 and start > 0:
+            out.add(line[before : stop + 1])
+        if after > 0:
+            out.add(line[start : after + 1])
+    return out
+
 
-    def contexts(words):
-        out = set()
-        line = f" {' '.join(words)} "
-        for start, end, _ in lexicon.matches(words):
-            stop = line.index(" ", max(end - 1, start + 1))
-            out.add(line[start : stop + 1])
-            before, after = line.rfind(" ", 0, start), line.find(" ", stop + 1)
-            if before >= 0 and start > 0:
-                out.add(line[before : stop + 1])
-            if after > 0:
-                out.add(line[start : after + 1])
-        return out
+def per_text(texts: DataFrame, prepare: Callable[[], Callable[[list[str]], Iterable]], kind: pa.DataType, ddl: str) -> DataFrame:
+    """(toxic, text_nr, value) for what the function that ``prepare`` gives makes of a text's folded words.
+
+    ``prepare`` runs once a task; the texts stay where they are.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values = prepare()
+        for batch in batches:
+            labels, numbers, found = [], [], []
+            for text, toxic, number in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                for value in values(folded(text.as_py())):
+                    labels.append(toxic)
+                    numbers.append(number)
+                    found.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(labels, pa.int32()), pa.array(numbers, pa.int64()), pa.array(found, kind)], names=["toxic", "text_nr", "value"]
+            )
 
-    harmless = Counter(c for words in clean for c in contexts(words))
-    harmful = Counter(c for words in toxic for c in contexts(words))
-    return {
-        c for c, n in harmless.items()
-        if n >= CONTEXTS and n / max(1, len(clean)) > 4 * (harmful[c] + 0.5) / max(1, len(toxic)) and c not in lexicon.weights
-    }
+    return texts.select("text", F.col("toxic").cast("int"), "text_nr").mapInArrow(each, f"toxic int, text_nr long, value {ddl}")
+
+
+def exceptions_of(texts: DataFrame, lexicon: Lexicon, sizes: dict[int, int]) -> set[str]:
+    """Contexts of entries that occur in clean texts and, for their number, hardly in toxic ones."""
+    weights, exceptions = lexicon.weights, lexicon.exceptions
+
+    def contexts():
+        own = Lexicon(weights, exceptions)
+        return lambda words: sorted(contexts_of(own, words))
+
+    counts = per_text(texts, contexts, pa.string(), "string").groupBy("value").agg(
+        F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")
+    )
+    harmless = (F.col("clean") >= CONTEXTS) & (F.col("clean") / sizes[0] > 4 * (F.col("toxic") + 0.5) / sizes[1])
+    return {r.value for r in counts.filter(harmless).collect()} - set(weights)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Lexicon:
-    """The lexicon of the labelled documents. The driver collects at most the sample's texts."""
-    texts = stored(training_texts(docs, labels, per_class), "toxic-sample")
+    """The lexicon of the labelled documents.
+
+    The sample's texts stay on the executors, however long they are. The driver collects terms that lie in
+    MIN_SHARE of the toxic texts, their numbers by text, harmless contexts of entries, and one density per text.
+    """
+    texts = stored(training_texts(docs, labels, per_class).withColumn("text_nr", F.monotonically_increasing_id()), "toxic-sample")
     sizes = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Lexicon({}, set())
     pure = F.col("toxic") / sizes[1] >= PURITY * (F.col("toxic") / sizes[1] + F.col("clean") / sizes[0])
     least = max(MIN_TEXTS, MIN_SHARE * sizes[1])
     candidates = {r.term: (r.clean, r.toxic) for r in term_counts(texts).filter(pure & (F.col("toxic") >= least)).collect()}
-    sample = [(folded(r.text), r.toxic) for r in texts.select("text", "toxic").toLocalIterator()]
-    clean, toxic = ([words for words, y in sample if y == label] for label in (0, 1))
-    cover = [{t for t in terms_of(words) if t in candidates} for words in toxic]
-    weights = chosen(candidates, cover, (sizes[0], sizes[1]))
+    terms = sorted(candidates)
+    number = {term: n for n, term in enumerate(terms)}
+    known = lambda: lambda words: sorted(number[t] for t in terms_of(words) if t in number)
+    cover: dict[int, set[str]] = {}
+    for r in per_text(texts.filter("toxic = 1"), known, pa.int32(), "int").toLocalIterator():
+        cover.setdefault(r.text_nr, set()).add(terms[r.value])
+    weights = chosen(candidates, list(cover.values()), (sizes[0], sizes[1]))
     if not weights:
         return Lexicon({}, set())
-    lexicon = Lexicon(weights, set())
-    lexicon = Lexicon(weights, exceptions_of(lexicon, clean, toxic))
-    densities = [lexicon.density(words) for words in (*clean, *toxic)]
-    slope, shift = fitted_curve(densities, [0] * len(clean) + [1] * len(toxic))
-    return Lexicon(weights, lexicon.exceptions, slope, shift)
+    exceptions = exceptions_of(texts, Lexicon(weights, set()), sizes)
+
+    def density():
+        own = Lexicon(weights, exceptions)
+        return lambda words: [own.density(words)]
+
+    found = [(r.value, r.toxic) for r in per_text(texts, density, pa.float64(), "double").collect()]
+    slope, shift = fitted_curve([d for d, _ in found], [y for _, y in found])
+    return Lexicon(weights, exceptions, slope, shift)
 
 
 def scores(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
