@@ -87,3 +87,18 @@ def test_odd_rows_and_empty_table(odd):
     assert out.columns == odd.columns
     assert sorted(map(repr, out.collect())) == sorted(map(repr, odd.collect()))
     assert mixing.mixed_rows(odd.limit(0)).count() == 0
+
+
+def test_uneven_sources_equal_the_sql(spark, documents, tmp_path):
+    import duckdb
+
+    from commutewell.llm import queries
+
+    sizes = {"big": 2600, "mid": 900, None: 300, "small": 61, "tiny": 3}
+    names = [name for name, n in sizes.items() for _ in range(n)]
+    documents([(7 * i, f"t{i}", "en", s, 1) for i, s in enumerate(names)]).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(queries.oracle_sql()["op1_pfair_mixing"]).fetchall()
+    got = queries.op1_pfair_mixing(spark, str(tmp_path)).select("doc_id", "source", "block", "release", "deadline", "turn", "place")
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.collect()) and len(want) == len(names)
