@@ -122,7 +122,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
-        if not words or not self.languages:
+        if not words or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         sums, n = [0.0] * len(self.languages), 0
         for word, k in words.items():

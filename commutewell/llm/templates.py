@@ -31,7 +31,7 @@ from commutewell.llm.common import stored
 MIN_PAGES = 8  # different pages of a host that a template occurs on,
 MIN_SHARE = 0.05  # and their share of the host's pages
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"<]*"|'[^'<]*'|["'])*+)/?>""")
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*+"|'[^']*+'|["'])*+)>""")
 _NEXT = re.compile(r"<")
 _OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")

@@ -45,6 +45,7 @@ def test_unseen_words_back_off_to_shorter_grams():
     assert model.predict("xjox")[0] == "fr"  # a 2-gram
     assert model.predict("q")[0] == "en"  # a letter
     assert model.unseen("zzz") is None
+    assert model.predict("½ ² 12")[0] == "und" and model.predict("½ q")[0] == "en"
     assert model.predict("hello hello bonjour")[0] == "en"
     assert model.predict("hello bonjour")[0] == "en"  # a tie goes to the first by name
 

@@ -29,6 +29,8 @@ def extract(spark, pages):
         ("1 < 2 and <> </> <p title='a>b'>yes", "1 < 2 and <> </>\nyes"),
         ("<p>x</b></i>y</p></div></section>z", "xy\nz"),
         ("<div class='shadow header-less'><p>kept</p></div><div class='adv'>no</div>", "kept"),
+        ("<p title='a<b' class=\"x > y\">yes<img alt=\"<p>no\"/> more</p>", "yes more"),
+        ("<p class=\"open>text</p><p>yes</p>", "text\nyes"),
         ("", ""),
         (None, ""),
     ],
