@@ -270,7 +270,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, result: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``result`` keeps, all columns, a repeated row once; rows without an id stay."""
+    """The rows of ``docs`` that ``result`` keeps, all columns, a repeated row once; rows without an id stay.
+
+    An id names one document: where it stands for several texts, they go together.
+    """
     row = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
     dropped = result.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     once = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("text_hash"))
