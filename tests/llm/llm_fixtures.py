@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest_words import prose
+from llm_words import prose
 
 DOCS = (
     "doc_id long, text string, lang string, source string, n_chars long, "

@@ -3,7 +3,8 @@
 import random
 import zlib
 
-from conftest_words import prose
+from llm_fixtures import documents, odd  # noqa: F401
+from llm_words import prose
 
 from commutewell.llm import langid
 

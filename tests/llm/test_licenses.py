@@ -2,6 +2,8 @@
 
 import pytest
 
+from llm_fixtures import documents, odd  # noqa: F401
+
 from commutewell.llm import licenses
 
 MIT = """Some Library, Copyright (c) 2020 Somebody

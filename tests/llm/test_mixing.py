@@ -5,6 +5,8 @@ from fractions import Fraction
 
 import pytest
 
+from llm_fixtures import documents, odd  # noqa: F401
+
 from commutewell.llm import mixing
 
 

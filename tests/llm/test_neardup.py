@@ -5,6 +5,8 @@ from itertools import combinations
 
 import pytest
 
+from llm_fixtures import corpus, documents, odd  # noqa: F401
+
 from commutewell.llm import neardup
 from commutewell.llm.common import ascii_words
 from commutewell.llm.components import components

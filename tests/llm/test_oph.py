@@ -2,6 +2,8 @@
 
 import hashlib
 
+from llm_fixtures import corpus, documents, odd  # noqa: F401
+
 from commutewell.llm import oph
 from commutewell.llm.common import ascii_words
 

@@ -3,6 +3,8 @@
 import random
 import zlib
 
+from llm_fixtures import documents, odd  # noqa: F401
+
 from commutewell.llm import sharding
 
 

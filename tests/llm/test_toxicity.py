@@ -4,7 +4,8 @@ import random
 import zlib
 
 import pytest
-from conftest_words import prose
+from llm_fixtures import documents, odd  # noqa: F401
+from llm_words import prose
 
 from commutewell.llm import toxicity
 from commutewell.llm.toxicity import Lexicon, folded
