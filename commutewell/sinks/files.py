@@ -39,7 +39,7 @@ def put_entry(df: DataFrame, zone: str, entry: str, draft: str) -> None:
     """Write ``df`` to the hidden directory ``draft`` and rename it to ``zone/entry``, which must not exist."""
     storage = Storage(df.sparkSession)
     if storage.exists(f"{zone}/{entry}"):
-        raise FileExistsError(f"{zone}/{entry}")
+        raise FileExistsError(f"{zone}/{entry} already exists")
     df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(draft)
     if not storage.rename(draft, f"{zone}/{entry}"):
-        raise FileExistsError(f"{zone}/{entry}")
+        raise FileExistsError(f"{zone}/{entry} already exists")
