@@ -2,6 +2,7 @@
 
 A text is cut to sentences twice: at sentence ends and blank lines, for wrapped text, and at every line end as
 well. Each sentence is normalised to lower-case letters and digits and looked up among known license sentences.
+A known sentence that holds a sentence end itself, as SPDX tags do, is found by its parts in a row.
 The identifiers found, in order, are matched against rules: a rule names a license and the identifiers that must
 follow one another. A rule that lies inside a longer rule that matched says nothing and is left out.
 
@@ -106,11 +107,32 @@ def known() -> dict[str, str]:
     return {normal(text): name for name, text in SENTENCES.items()}
 
 
+def cut_sentences() -> dict[tuple[str, ...], str]:
+    """Identifier by normalised parts, for the known sentences that hold a sentence end themselves."""
+    parts = {tuple(filter(None, map(normal, re.split(_END, text.lower())))): name for name, text in SENTENCES.items()}
+    return {key: name for key, name in parts.items() if len(key) > 1}
+
+
 def identifiers(text: Column, ends: str) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    table = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    names = lambda s: F.try_element_at(table, F.btrim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    return F.array_compact(F.transform(F.split(F.lower(text), ends), names))
+    literal = lambda pairs: F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+    whole = literal(known())
+
+    def names(parts: Column) -> Column:
+        def name(part: Column, i: Column) -> Column:
+            found = F.try_element_at(whole, part)
+            for n in sorted({len(key) for key in cut_sentences()}):
+                cut = {key: name for key, name in cut_sentences().items() if len(key) == n}
+                joined = F.array_join(F.slice(parts, i + 1, n), "\n")
+                rest = F.try_element_at(literal({"\n".join(key): name for key, name in cut.items()}), joined)
+                found = F.coalesce(found, F.when(part.isin(sorted({key[0] for key in cut})), rest))
+            return found
+
+        return F.array_compact(F.transform(parts, name))
+
+    # The array of one element binds the parts to a name, so that the text is cut once.
+    parts = F.transform(F.split(F.lower(text), ends), lambda s: F.btrim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
+    return F.element_at(F.transform(F.array(parts), names), 1)
 
 
 def matched(ids: Column) -> Column:

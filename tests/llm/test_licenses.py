@@ -68,3 +68,32 @@ def test_odd_rows_and_empty_table(odd):
     got = licenses.scan(odd).collect()
     assert len(got) == odd.count() and {r.licenses for r in got} == {""}
     assert licenses.scan(odd.limit(0)).count() == 0
+
+
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+
+
+@pytest.mark.parametrize(
+    ("text", "found", "rules"),
+    [
+        ("// SPDX-License-Identifier: MIT", "MIT", "spdx-mit"),
+        ("#!/bin/sh\n# SPDX-License-Identifier: Apache-2.0\nset -e", "Apache-2.0", "spdx-apache"),
+        ("x. SPDX-License-Identifier: BSD-3-Clause. y", "BSD-3-Clause", "spdx-bsd3"),
+        ("SPDX-License-Identifier:GPL-3.0-or-later", "GPL-3.0-or-later", "spdx-gpl3"),
+        (MPL, "MPL-2.0", "mpl2-form"),
+        ("SPDX-License-Identifier: ", "", ""),
+        ("SPDX-License-Identifier: x. MIT", "", ""),
+    ],
+)
+def test_sentences_that_hold_a_sentence_end(documents, text, found, rules):
+    got = licenses.scan(documents([(1, text, None, None, None)])).first()
+    assert (got.licenses, got.rules) == (found, rules)
+
+
+def test_every_rule_matches_its_own_text(documents):
+    texts = [". ".join(licenses.SENTENCES[name] for name in rule.split()) + "." for _, rule in licenses.RULES]
+    got = {r.doc_id: r for r in licenses.scan(documents([(i, t, None, None, None) for i, t in enumerate(texts)])).collect()}
+    for i, (lic, rule) in enumerate(licenses.RULES):
+        assert lic in got[i].licenses.split(",") and rule in got[i].rules.split(","), rule
