@@ -61,14 +61,19 @@ MARKS = set(
 )
 
 
+# Words that only say what a layout has: has-sidebar, with-comments, comments-open.
+_MODIFIER = re.compile(r"^(?:has|with|without|no)[-_]|[-_](?:open|opened|closed|enabled|disabled)$", re.I)
+
+
 class Element:
-    __slots__ = ("tag", "parent", "children", "dropped", "hash")
+    __slots__ = ("tag", "parent", "children", "dropped", "marked", "hash", "prose")
 
-    def __init__(self, tag, parent, dropped=False):
-        self.tag, self.parent, self.children, self.dropped, self.hash = tag, parent, [], dropped, None
+    def __init__(self, tag, parent, dropped=False, marked=0):
+        self.tag, self.parent, self.children, self.dropped, self.marked = tag, parent, [], dropped, marked
+        self.hash, self.prose = None, (0, 0, 0, 0)
 
 
-def _marked(tag: str, attributes: str) -> bool:
+def _hidden(attributes: str) -> bool:
     for name, value in _ATTRIBUTE.findall(attributes):
         name = name.lower()
         value = value.strip("\"'")
@@ -76,17 +81,78 @@ def _marked(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
-        if name in ("class", "id", "role") and tag not in ("html", "body", "main") and not (tag == "article" and name != "class"):
-            if any(word.lower() in MARKS for word in _NAME.findall(value)):
-                return True
     return False
 
 
+def _marked(tag: str, attributes: str) -> int:
+    """0 without a mark; 1 if there are other words beside it, as on a layout's wrapper; 2 if there are only marks."""
+    if tag in ("html", "body", "main", "article"):
+        return 0
+    marks = others = 0
+    for name, value in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            for token in value.strip("\"'").split():
+                if not _MODIFIER.search(token):
+                    found = any(word.lower() in MARKS for word in _NAME.findall(token))
+                    marks, others = marks + found, others + (not found)
+    return 0 if not marks else 1 if others else 2
+
+
+def _settle(root: Element) -> None:
+    """Drops the marked elements but those that hold the article, or most of the prose of a page without one.
+
+    From the outside in, each level of marked elements is decided at once.
+    """
+    measured(root)
+    order = _in_order(root)
+    inside: dict[int, tuple[int, int, int, int]] = {}  # articles and mains: all, and those under no further mark
+    for node in reversed(order):
+        counts = [int(node.tag == "article"), int(node.tag == "main")] * 2
+        for c in node.children:
+            if isinstance(c, Element) and not c.dropped:
+                a, m, free_a, free_m = inside[id(c)]
+                counts[0] += a
+                counts[1] += m
+                if not c.marked:
+                    counts[2] += free_a
+                    counts[3] += free_m
+        inside[id(node)] = tuple(counts)
+    at = 0 if root.prose[0] else 2
+    total = root.prose[at]
+    articles, mains = inside[id(root)][2:]
+    tops = [root]
+    while tops:
+        level, stack = [], [c for top in tops for c in top.children if isinstance(c, Element)]
+        while stack:
+            node = stack.pop()
+            if node.marked and not node.dropped:
+                level.append(node)
+            elif not node.dropped:
+                stack += [c for c in node.children if isinstance(c, Element)]
+        most = max((n.prose[at] for n in level if sum(inside[id(n)][:2])), default=0)
+        tops = []
+        for node in level:
+            a, m = inside[id(node)][:2]
+            prose = node.prose[at]
+            large = 2 * prose > total if node.marked == 1 else 10 * prose >= 9 * total > 0
+            if not articles and not mains:
+                keep = (a + m and 2 * prose >= most) or large
+            else:
+                keep = not articles and a and large
+            if keep:
+                tops.append(node)
+            else:
+                node.dropped = True
+        articles += sum(inside[id(n)][2] for n in tops)
+        mains += sum(inside[id(n)][3] for n in tops)
+
+
 def parse(page: str | None) -> Element:
     """The page as elements. End tags close what is open; a block closes an open paragraph; the rest is as it comes."""
     root = here = Element("", None)
     page, at = page or "", 0
     opened: set[str] = set()  # an end tag whose name never occurred closes nothing
+    marks = 0
     while at < len(page):
         found = _NEXT.search(page, at)
         stop = found.start() if found else len(page)
@@ -130,7 +196,8 @@ def parse(page: str | None) -> Element:
                 node = node.parent
             while node.tag in ("td", "th") or (node.tag == "tr" and name == "tr"):
                 here = node = node.parent
-        child = Element(name, here, name in DROPPED or _marked(name, tag[3]))
+        child = Element(name, here, name in DROPPED or _hidden(tag[3]), _marked(name, tag[3]))
+        marks += child.marked
         here.children.append(child)
         if name in RAW:
             end = re.compile(rf"</{name}\s*[^>]*>", re.I).search(page, at)
@@ -138,19 +205,48 @@ def parse(page: str | None) -> Element:
             at = end.end() if end else len(page)
         elif name not in VOID and not tag[0].endswith("/>"):
             here = child
+    if marks:
+        _settle(root)
     return root
 
 
-def hashed(root: Element) -> None:
-    """Every element's hash over its tag, its words and its children's hashes; no recursion, pages nest at will."""
-    import xxhash
-
+def _in_order(root: Element) -> list[Element]:
+    """Elements, parents first; no recursion, pages nest at will."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack += [c for c in node.children if isinstance(c, Element)]
-    for node in reversed(order):
+    return order
+
+
+def measured(root: Element) -> None:
+    """Every element's ``prose``: characters and sum of hashes of its outermost prose elements, then of any text.
+
+    Text of links and of what is dropped is left out.
+    """
+    import xxhash
+
+    for node in reversed(_in_order(root)):
+        prose = (0, 0, 0, 0)
+        if not node.dropped and node.tag != "a":
+            n = [0, 0, 0, 0]
+            for child in node.children:
+                if isinstance(child, Element):
+                    for i, x in enumerate(child.prose):
+                        n[i] += x
+                elif words := " ".join(child.split()):
+                    n[2] += len(words)
+                    n[3] += xxhash.xxh3_64_intdigest(words)
+            prose = (n[2], n[3], n[2], n[3]) if node.tag in PROSE and n[2] else tuple(n)
+        node.prose = prose
+
+
+def hashed(root: Element) -> None:
+    """Every element's hash over its tag, its words and its children's hashes."""
+    import xxhash
+
+    for node in reversed(_in_order(root)):
         digest = xxhash.xxh3_64(node.tag)
         for child in node.children:
             digest.update(b"\x00" + child.hash if isinstance(child, Element) else " ".join(child.split()))
