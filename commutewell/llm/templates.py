@@ -5,8 +5,9 @@ on how many different pages each hash occurs. A subtree that recurs on many of t
 the page, and is deleted, together with what markup says is no article text: menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles. The article's text is then read block by block.
 
-Pages with the same article count once, so copies of an article do not make it a template. Inside an article,
-or the main element, containers of its paragraphs are never deleted as templates: articles share passages.
+A subtree counts by the different prose around it, and not on pages whose prose is nearly all inside it, so copies
+of an article do not make it a template, with or without an article element. Inside an article, or the main
+element, containers of its paragraphs are never deleted as templates: articles share passages.
 
 Subtrees meet only as counts: a host with very many pages ships one row per task and hash.
 
@@ -30,6 +31,7 @@ from commutewell.llm.common import stored
 
 MIN_PAGES = 8  # different pages of a host that a template occurs on,
 MIN_SHARE = 0.05  # and their share of the host's pages
+MOST_PROSE = 0.75  # of a page's prose: what holds more is its own text
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*+"|'[^']*+'|["'])*+)>""")
 _NEXT = re.compile(r"<")
@@ -269,8 +271,11 @@ def _articles(root: Element) -> list[Element]:
     return found["article"] or found["main"][:1]
 
 
-def candidates(root: Element) -> list[Element]:
-    """Containers that may be deleted as templates: all outside the articles, and those without prose inside."""
+def candidates(root: Element) -> list[tuple[Element, bool]]:
+    """Containers that may be deleted as templates, and whether they are inside an article.
+
+    All outside the articles, and those without prose inside.
+    """
     articles = set(map(id, _articles(root)))
     order, stack = [], [(root, False)]
     while stack:
@@ -284,14 +289,43 @@ def candidates(root: Element) -> list[Element]:
         if id(node) in articles or (inside and node.tag in PROSE) or any(id(c) in keeps for c in node.children):
             keeps.add(id(node))
         elif node.tag in CONTAINER:
-            out.append(node)
+            out.append((node, inside))
+    return out
+
+
+def votes(root: Element) -> dict[bytes, int]:
+    """The hash of every candidate with a hash of the page's prose around it.
+
+    A candidate that holds nearly all prose is the page's own text; it has no vote. Pages without prose elements
+    are judged by all their text but that of links, pages without any text by all that is on them.
+    """
+    measured(root)
+    articles = _articles(root)
+    tops = articles or [root]
+    total = [sum(t.prose[i] for t in tops) for i in range(4)]
+    at = 0 if total[0] else 2
+    out = {}
+    for node, inside in candidates(root):
+        if not node.dropped:
+            own = node.prose[at : at + 2] if inside or not articles else (0, 0)
+            if not total[at]:
+                out[node.hash] = int.from_bytes(root.hash, "big") >> 1
+            elif MOST_PROSE * total[at] >= own[0]:
+                out[node.hash] = (total[at + 1] - own[1]) % 2**63
     return out
 
 
+def own_text(root: Element) -> int:
+    """A hash of all the page's prose."""
+    tops = _articles(root) or [root]
+    at = 0 if any(t.prose[0] for t in tops) else 2
+    return sum(t.prose[at + 1] for t in tops) % 2**63 if any(t.prose[at] for t in tops) else int.from_bytes(root.hash, "big") >> 1
+
+
 def text_of(root: Element, templates: set[bytes]) -> str:
     """The blocks of the articles, or of the whole page if it has none, without what is dropped or a template."""
     if templates:
-        for node in candidates(root):
+        for node, _ in candidates(root):
             node.dropped = node.dropped or node.hash in templates
     blocks: list[str] = []
     words: list[str] = []
@@ -334,21 +368,17 @@ def host_of(url: Column) -> Column:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """page, host, content (a hash of the articles) and hash: one row per page and distinct candidate."""
+    """page, host, content (a hash of the prose around it) and hash: one row per page and distinct candidate."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
             keys, hosts, contents, hashes = [], [], [], []
             for key, host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 root = parse(page.as_py())
                 hashed(root)
-                body = _articles(root) or [root]
-                content = xxhash.xxh3_64_intdigest(b"".join(a.hash for a in body)) >> 1
-                found = {int.from_bytes(n.hash, "big", signed=True) for n in candidates(root) if not n.dropped}
+                found = [(int.from_bytes(h, "big", signed=True), content) for h, content in sorted(votes(root).items())]
                 # A row for the page itself, so that the host's pages can be counted.
-                for h in [None, *sorted(found)]:
+                for h, content in [(None, own_text(root)), *found]:
                     keys.append(key)
                     hosts.append(host)
                     contents.append(content)

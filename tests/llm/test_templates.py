@@ -85,3 +85,15 @@ def test_hosts(spark):
 )
 def test_marks_on_wrappers(html, want):
     assert templates.text_of(templates.parse(html), set()) == want
+
+
+STORY = "A story of some length that many pages of the site hold again, word by word."
+
+
+@pytest.mark.parametrize("story", [f"<p>{STORY}</p>", STORY, f"<h1>{STORY[:9]}</h1><p>{STORY}</p>"])
+def test_copies_without_an_article_element_are_no_template(spark, story):
+    pages = [f"<div>No. {i}</div><div>{story}</div><div><a href=/{i}>go to {i}</a></div>" for i in range(30)]
+    pages += [f"<div><p>another text, which is the {i}th</p></div><div><b>Our house</b></div>" for i in range(10)]
+    got = extract(spark, [(f"https://a.example/{i}", p) for i, p in enumerate(pages)])
+    assert all(STORY in got[i] for i in range(30))
+    assert got[30] == "another text, which is the 0th"
