@@ -7,7 +7,7 @@ notices, adverts, forms, comments, scripts and styles. The article's text is the
 
 A subtree counts by the different prose around it, and not on pages whose prose is nearly all inside it, so copies
 of an article do not make it a template, with or without an article element. Inside an article, or the main
-element, containers of its paragraphs are never deleted as templates: articles share passages.
+element, containers of paragraphs are deleted only where they recur in the same place: articles share passages.
 
 Subtrees meet only as counts: a host with very many pages ships one row per task and hash.
 
@@ -29,8 +29,7 @@ from pyspark.sql import types as T
 
 from commutewell.llm.common import stored
 
-MIN_PAGES = 8  # different pages of a host that a template occurs on,
-MIN_SHARE = 0.05  # and their share of the host's pages
+MIN_PAGES = 8  # different pages of a host that a template occurs on, however many pages the host has
 MOST_PROSE = 0.75  # of a page's prose: what holds more is its own text
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*+"|'[^']*+'|["'])*+)>""")
@@ -271,30 +270,43 @@ def _articles(root: Element) -> list[Element]:
     return found["article"] or found["main"][:1]
 
 
-def candidates(root: Element) -> list[tuple[Element, bool]]:
-    """Containers that may be deleted as templates, and whether they are inside an article.
+def candidates(root: Element) -> list[tuple[Element, bool, list[bytes]]]:
+    """Containers that may be deleted as templates, whether they are inside an article, and their keys.
 
-    All outside the articles, and those without prose inside.
+    A key is the subtree's hash. Containers of prose inside an article have two others, as articles share passages:
+    the hash with the place in the article, counted among the siblings from the first and from the last.
     """
+    import xxhash
+
     articles = set(map(id, _articles(root)))
-    order, stack = [], [(root, False)]
+    order, stack = [], [(root, False, b"", 0, 0)]
     while stack:
-        node, inside = stack.pop()
-        inside = inside or id(node) in articles
-        order.append((node, inside))
-        stack += [(c, inside) for c in node.children if isinstance(c, Element)]
-    keeps: set[int] = set()  # elements with an article in them, or with prose inside an article
+        node, inside, path, first, last = stack.pop()
+        if id(node) in articles:
+            inside, path = True, b""
+        order.append((node, inside, path, first, last))
+        below = xxhash.xxh3_64_digest(path + node.tag.encode("utf-8", "surrogatepass")) if inside else b""
+        inner = [c for c in node.children if isinstance(c, Element)]
+        stack += [(c, inside, below, n, len(inner) - n) for n, c in enumerate(inner)]
+    holds: set[int] = set()  # elements with an article in them
+    prose: set[int] = set()  # elements that are or hold prose inside an article
     out = []
-    for node, inside in reversed(order):
-        if id(node) in articles or (inside and node.tag in PROSE) or any(id(c) in keeps for c in node.children):
-            keeps.add(id(node))
-        elif node.tag in CONTAINER:
-            out.append((node, inside))
+    for node, inside, path, first, last in reversed(order):
+        if id(node) in articles or any(id(c) in holds for c in node.children):
+            holds.add(id(node))
+            continue
+        if inside and (node.tag in PROSE or any(id(c) in prose for c in node.children)):
+            prose.add(id(node))
+        if node.tag in CONTAINER:
+            keys = [node.hash]
+            if id(node) in prose and node.hash:
+                keys = [xxhash.xxh3_64_digest(node.hash + path + f"{side}{n}".encode()) for side, n in (("<", first), (">", last))]
+            out.append((node, inside, keys))
     return out
 
 
 def votes(root: Element) -> dict[bytes, int]:
-    """The hash of every candidate with a hash of the page's prose around it.
+    """The keys of every candidate with a hash of the page's prose around it.
 
     A candidate that holds nearly all prose is the page's own text; it has no vote. Pages without prose elements
     are judged by all their text but that of links, pages without any text by all that is on them.
@@ -305,28 +317,21 @@ def votes(root: Element) -> dict[bytes, int]:
     total = [sum(t.prose[i] for t in tops) for i in range(4)]
     at = 0 if total[0] else 2
     out = {}
-    for node, inside in candidates(root):
+    for node, inside, keys in candidates(root):
         if not node.dropped:
             own = node.prose[at : at + 2] if inside or not articles else (0, 0)
             if not total[at]:
-                out[node.hash] = int.from_bytes(root.hash, "big") >> 1
+                out |= dict.fromkeys(keys, int.from_bytes(root.hash, "big") >> 1)
             elif MOST_PROSE * total[at] >= own[0]:
-                out[node.hash] = (total[at + 1] - own[1]) % 2**63
+                out |= dict.fromkeys(keys, (total[at + 1] - own[1]) % 2**63)
     return out
 
 
-def own_text(root: Element) -> int:
-    """A hash of all the page's prose."""
-    tops = _articles(root) or [root]
-    at = 0 if any(t.prose[0] for t in tops) else 2
-    return sum(t.prose[at + 1] for t in tops) % 2**63 if any(t.prose[at] for t in tops) else int.from_bytes(root.hash, "big") >> 1
-
-
 def text_of(root: Element, templates: set[bytes]) -> str:
     """The blocks of the articles, or of the whole page if it has none, without what is dropped or a template."""
     if templates:
-        for node, _ in candidates(root):
-            node.dropped = node.dropped or node.hash in templates
+        for node, _, keys in candidates(root):
+            node.dropped = node.dropped or not templates.isdisjoint(keys)
     blocks: list[str] = []
     words: list[str] = []
 
@@ -376,13 +381,11 @@ def subtrees(pages: DataFrame) -> DataFrame:
             for key, host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 root = parse(page.as_py())
                 hashed(root)
-                found = [(int.from_bytes(h, "big", signed=True), content) for h, content in sorted(votes(root).items())]
-                # A row for the page itself, so that the host's pages can be counted.
-                for h, content in [(None, own_text(root)), *found]:
+                for h, content in sorted(votes(root).items()):
                     keys.append(key)
                     hosts.append(host)
                     contents.append(content)
-                    hashes.append(h)
+                    hashes.append(int.from_bytes(h, "big", signed=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(hosts, pa.int64()), pa.array(contents, pa.int64()), pa.array(hashes, pa.int64())],
                 names=["page", "host", "content", "hash"],
@@ -391,12 +394,10 @@ def subtrees(pages: DataFrame) -> DataFrame:
     return pages.select("page", "host", "html").mapInArrow(walk, "page long, host long, content long, hash long")
 
 
-def site_templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def site_templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, hash) of the subtrees on enough different pages of their host."""
     counts = found.select("host", "hash", "content").distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
-    counts = stored(counts.filter((F.col("n") >= min_pages) | F.col("hash").isNull()), "subtree-counts")
-    hosts = counts.filter("hash IS NULL").select("host", F.col("n").alias("pages"))
-    return counts.filter("hash IS NOT NULL").join(hosts, "host").filter(F.col("n") >= F.greatest(F.lit(min_pages), min_share * F.col("pages"))).select("host", "hash")
+    return counts.filter(F.col("n") >= min_pages).select("host", "hash")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

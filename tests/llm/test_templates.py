@@ -97,3 +97,16 @@ def test_copies_without_an_article_element_are_no_template(spark, story):
     got = extract(spark, [(f"https://a.example/{i}", p) for i, p in enumerate(pages)])
     assert all(STORY in got[i] for i in range(30))
     assert got[30] == "another text, which is the 0th"
+
+
+def test_boxes_go_whatever_the_size_of_the_host(spark):
+    """An unmarked box on few pages of a large host, and a box of prose in the same place of every article."""
+    box, note = "<div>Our <b>house</b></div>", "<div><h3>About us</h3><p>We are here for you.</p></div>"
+    pages = [f"{box if i < 9 else ''}<div><p>text {i}</p></div>" for i in range(400)]
+    pages += [f"<article>{'<p>more words of it</p>' * (i % 3)}<p>some words on number {i}</p>{note}</article>" for i in range(12)]
+    shared = "<div><p>A passage that articles share.</p></div>"
+    pages += [f"<article>{'<p>first</p>' * i}{shared}{'<p>last</p>' * (20 - i)}<p>number {i}</p></article>" for i in range(12)]
+    got = extract(spark, [(f"https://a.example/{i}", p) for i, p in enumerate(pages)])
+    assert all(got[i] == f"text {i}" for i in range(400))
+    assert got[400] == "some words on number 0" and "About us" not in "".join(got[i] for i in range(400, 412))
+    assert all("A passage that" in got[i] for i in range(412, 424))
