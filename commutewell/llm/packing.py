@@ -1,11 +1,14 @@
 """Best-fit packing of token pieces by a grouping genetic algorithm on islands.
 
 Documents become token ids and are cut to at most ``CAPACITY`` tokens; a piece of full length is a sequence
-of its own. All other pieces are dealt by hash into blocks of about ``BLOCK_ITEMS``. A block is bred on
+of its own. All other pieces are dealt into blocks of about ``BLOCK_ITEMS``: by hash, or, where the order of the
+documents counts, in runs that follow one another (``in_order``). A block is bred on
 ``ISLANDS`` islands, each a task of its own: crossover injects whole well-filled bins of one parent into the
 other, bins that would hold a piece twice are dissolved, and the displaced pieces go where they fit best.
 Between epochs every island sends its elite to the next one. The best packing of a block wins; bins it fills
-badly are pooled over all blocks and bred once more.
+badly are pooled over all blocks and bred once more. With ``in_order`` only ``POOLED`` blocks in a row share a pool, and
+``sequence_id`` rises with the place of the documents: any stretch of sequences holds documents of one stretch,
+to about ``POOLED`` blocks.
 
 No task sees more than a block, and the driver only sees counts.
 
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +35,7 @@ from commutewell.llm.common import stored
 CAPACITY = 2048
 END_ID = 0
 BLOCK_ITEMS = 2048
+POOLED = 4  # blocks in a row
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 6
@@ -73,30 +77,50 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((start, capacity) for start in range(first, n, capacity))]
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of every piece."""
-    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("piece int, start long, length long, ids_crc32 long")])
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, file: Column | None = None, row: Column | None = None) -> DataFrame:
+    """doc_id, piece, start, length and ids_crc32 of every piece, with the document's file and row where they are given."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "file", "row"]
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("piece int, start long, length long, ids_crc32 long, file string, row long")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
             ids, rows = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text, file_, row_ in zip(batch.column(0).to_pylist(), batch.column(1), *(batch.column(c).to_pylist() for c in (2, 3))):
                 tokens = token_ids(encode, text.as_py())
                 for k, (start, length) in enumerate(cuts(len(tokens), capacity)):
                     ids.append(doc_id)
-                    rows.append((k, start, length, zlib.crc32(tokens[start : start + length].tobytes())))
-            columns = list(zip(*rows)) or [(), (), (), ()]
+                    rows.append((k, start, length, zlib.crc32(tokens[start : start + length].tobytes()), file_, row_))
+            columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, batch.schema.field(0).type),
                     pa.array(columns[0], pa.int32()),
-                    *(pa.array(c, pa.int64()) for c in columns[1:]),
+                    *(pa.array(c, pa.int64()) for c in columns[1:4]),
+                    pa.array(columns[4], pa.string()),
+                    pa.array(columns[5], pa.int64()),
                 ],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                names=names,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    none = F.lit(None)
+    file, row = none if file is None else file, none if row is None else row
+    cut_ = docs.select("doc_id", "text", file.cast("string").alias("file"), row.cast("long").alias("row")).mapInArrow(cut, schema)
+    return cut_ if file is not none else cut_.drop("file", "row")
+
+
+def in_rows(cut: DataFrame, chunk: int = 1024) -> DataFrame:
+    """``cut`` with row_id, gapless from 0, by file, row and piece. Rows are counted in chunks of a file."""
+    cut = cut.withColumn("chunk", F.floor(F.col("row") / chunk))
+    sizes = cut.groupBy("file", "chunk").agg(F.count("*").alias("n"))
+    files = sizes.groupBy("file").agg(F.sum("n").alias("all"))
+    # One line per file, then one per chunk of a file.
+    ahead = files.select("file", (F.sum("all").over(Window.orderBy("file")) - F.col("all")).alias("ahead"))
+    inside = F.sum("n").over(Window.partitionBy("file").orderBy("chunk")) - F.col("n")
+    starts = sizes.select("file", "chunk", inside.alias("inside")).join(ahead, "file")
+    starts = starts.select("file", "chunk", (F.col("ahead") + F.col("inside")).alias("first"))
+    nr = F.row_number().over(Window.partitionBy("file", "chunk").orderBy("row", "piece")) - 1
+    return cut.withColumn("nr", nr).join(starts, ["file", "chunk"]).withColumn("row_id", F.col("first") + F.col("nr")).drop("file", "row", "chunk", "first", "nr")
 
 
 # --- One island -----------------------------------------------------------------------------------
@@ -182,9 +206,20 @@ def _individuals(block, island, ids, sizes, population, capacity) -> pd.DataFram
 # --- Islands in Spark -----------------------------------------------------------------------------
 
 
-def packed(items: DataFrame, capacity: int = CAPACITY, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """row_id, block, bin, offset and fill for every (row_id, length) of ``items``."""
+def packed(items: DataFrame, capacity: int = CAPACITY, block_items: int = BLOCK_ITEMS, in_order: bool = False, pool: Column | None = None) -> DataFrame:
+    """row_id, block, bin, offset and fill for every (row_id, length) of ``items``; ``pool`` are the blocks, if given."""
     blocks = max(1, -(-items.count() // block_items))
+    block = F.pmod(F.xxhash64("row_id"), F.lit(blocks))
+    if pool is not None:
+        block = pool
+    elif in_order and blocks > 1:
+        # Runs of row_id with about as many items each: counted in fine steps, then cut. One line per step.
+        ends = items.agg(F.min("row_id").alias("low"), F.max("row_id").alias("high")).first()
+        step = F.floor((F.col("row_id") - ends.low) / max(1, (ends.high - ends.low) // (blocks * 32)))
+        steps = items.groupBy(step.alias("step")).agg(F.count("*").alias("n"))
+        run = F.floor((F.sum("n").over(Window.orderBy("step")) - F.col("n")) / block_items)
+        items = items.withColumn("step", step).join(steps.select("step", run.alias("run")), "step").drop("step")
+        block = F.col("run")
 
     def settle(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("row_id")
@@ -210,7 +245,7 @@ def packed(items: DataFrame, capacity: int = CAPACITY, block_items: int = BLOCK_
         return of
 
     population = (
-        items.withColumn("block", F.pmod(F.xxhash64("row_id"), F.lit(blocks)))
+        items.withColumn("block", block)
         .withColumn("island", F.explode(F.array(*map(F.lit, range(ISLANDS)))))
         .groupBy("block", "island")
         .applyInPandas(settle, _INDIVIDUAL)
@@ -232,17 +267,33 @@ def packed(items: DataFrame, capacity: int = CAPACITY, block_items: int = BLOCK_
     )
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Every piece of ``docs`` with the sequence that holds it and its place there."""
-    cut = stored(pieces(docs, path, capacity).withColumn("row_id", F.monotonically_increasing_id()), "pieces")
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, block_items: int = BLOCK_ITEMS, in_order: bool = False) -> DataFrame:
+    """Every piece of ``docs`` with the sequence that holds it and its place there.
+
+    With ``in_order``, ``docs`` are files whose names and rows are in the order that the sequences are to follow.
+    """
+    if in_order:
+        cut = pieces(docs, path, capacity, F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+        cut = stored(in_rows(stored(cut, "cut")), "pieces")
+    else:
+        cut = stored(pieces(docs, path, capacity).withColumn("row_id", F.monotonically_increasing_id()), "pieces")
     short = cut.filter(F.col("length") < capacity).select("row_id", "length")
-    first = stored(packed(short, capacity, block_items), "packed")
+    first = stored(packed(short, capacity, block_items, in_order), "packed")
     well = F.col("fill") >= int(WELL_FILLED * capacity)
-    again = packed(first.filter(~well).select("row_id", "length"), capacity, block_items)
-    number = lambda turn: F.shiftleft(F.col("block"), 21) * 2 + F.col("bin") * 2 + turn
-    places = first.filter(well).select("row_id", number(0).alias("sequence_id"), "offset").unionByName(
-        again.select("row_id", number(1).alias("sequence_id"), "offset")
-    )
+    pool = F.floor(F.col("home") / POOLED) if in_order else None
+    again = packed(first.filter(~well).select("row_id", "length", F.col("block").alias("home")), capacity, block_items, in_order, pool)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    alone = cut.filter(F.col("length") >= capacity).select("*", (-1 - F.col("row_id")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    alone = cut.filter(F.col("length") >= capacity)
+    zero = F.lit(0).cast("long").alias("offset")
+    if in_order:
+        # A sequence stands at its first piece, which no other sequence holds.
+        home = lambda *bin_: F.min("row_id").over(Window.partitionBy(*bin_)).alias("sequence_id")
+        places = first.filter(well).select("row_id", home("block", "bin"), "offset").unionByName(again.select("row_id", home("block", "bin"), "offset"))
+        alone = alone.select("*", F.col("row_id").alias("sequence_id"), zero)
+    else:
+        number = lambda turn: F.shiftleft(F.col("block"), 21) * 2 + F.col("bin") * 2 + turn
+        places = first.filter(well).select("row_id", number(0).alias("sequence_id"), "offset").unionByName(
+            again.select("row_id", number(1).alias("sequence_id"), "offset")
+        )
+        alone = alone.select("*", (-1 - F.col("row_id")).alias("sequence_id"), zero)
     return cut.join(places, "row_id").select(columns).unionByName(alone.select(columns))

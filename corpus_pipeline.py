@@ -31,8 +31,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token pieces in sequences."""
-    return packing.pack(docs)
+    """The documents' token pieces in sequences that follow the order of the mixture."""
+    return packing.pack(docs, in_order=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -44,3 +44,32 @@ def test_run_reaches_the_end(spark):
 @pytest.mark.parametrize("name", OPS)
 def test_query_equals_its_sql(spark, name):
     assert check_queries.compare(spark, check_queries.oracle(SF), name, SF) is None
+
+
+def test_sequences_follow_the_mixture(spark, documents):
+    """Every stretch of sequences holds the sources as the mixed rows of that stretch do."""
+    import random
+
+    from llm_words import prose
+
+    from commutewell.llm import mixing, packing
+
+    rng = random.Random(5)
+    rows = [(i, prose(rng, "en", 4 + i % 60), "en", "small" if i % 12 == 0 else "big", 1) for i in range(4000)]
+    docs = stored(mixing.mixed_rows(documents(rows)), "mixed-test")
+    order = [r[0] for r in mixing.mix(documents(rows)).orderBy("turn", "place").select("row.doc_id").collect()]
+    at = {doc: n for n, doc in enumerate(order)}
+    got = packing.pack(docs, capacity=256, block_items=50, in_order=True).orderBy("sequence_id", "offset").collect()
+    assert sorted({r.doc_id for r in got}) == sorted(at)
+    held = {}
+    for r in got:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in held.values():
+        assert all(a + n == b for (a, n), (b, _) in zip(sorted(places), sorted(places)[1:])) and sum(n for _, n in places) <= 256
+    pieces = [at[r.doc_id] / len(order) for r in got]
+    assert max(abs(place - n / len(pieces)) for n, place in enumerate(pieces)) < 0.2
+    small = {i for i, *_, source, _ in rows if source == "small"}
+    for stop in range(len(pieces) // 10, len(pieces), len(pieces) // 10):
+        share = sum(r.doc_id in small for r in got[:stop]) / stop
+        mixed = sum(doc in small for doc in order[: round(stop * len(order) / len(pieces))]) / round(stop * len(order) / len(pieces))
+        assert abs(share - mixed) < 0.05
