@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from commutewell.llm import langid, licenses, mixing, neardup, oph, packing, sharding, templates, toxicity, vafile
+from commutewell.llm import (
+    langid,
+    licenses,
+    manifest,
+    mixing,
+    neardup,
+    oph,
+    packing,
+    secrets,
+    sharding,
+    spelling,
+    templates,
+    toxicity,
+    vafile,
+)
 from commutewell.llm.common import table
 from commutewell.session import work_dir
 
@@ -55,6 +69,18 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_bit_sliced_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_pointer_proofs(spark, sf_dir):
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_linked_secrets(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def queries():
     named = [(name, value) for name, value in globals().items() if name.startswith("op") and name[2].isdigit()]
     return dict(sorted(named, key=lambda x: int(x[0][2:].split("_")[0])))
@@ -153,5 +179,70 @@ SELECT f.doc_id, f.source, CAST(block AS BIGINT) AS block, CAST(base + f.k * 100
 FROM f JOIN o ON f.start = o.turn AND f.key = o.key AND f.k = o.k"""
 
 
+# The checksum of a list of bytes, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, {bytes}), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+_VARIANTS_SQL = f"""
+WITH RECURSIVE
+  r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+        FROM documents),
+  d AS (SELECT doc_id, run, count(*) AS c FROM r WHERE length(run) >= 7 GROUP BY 1, 2),
+  b AS (SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+               lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)) AS bytes FROM d),
+  h AS (SELECT run, c, {_CRC32.format(bytes="bytes")} AS h FROM b),
+  o AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h),
+  v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM o WHERE length(word) >= 7 GROUP BY 1 HAVING sum(c) >= 2),
+  i AS (SELECT word, n, unnest(range(length(word))) AS i FROM v),
+  m AS (SELECT word, n, substr(word, 1, i) || '*' || substr(word, i + 2) AS m, substr(word, 1, i) || substr(word, i + 2) AS s FROM i),
+  l AS (SELECT DISTINCT m.word AS long, m.n AS long_n, v.word AS short, v.n AS short_n FROM m JOIN v ON m.s = v.word),
+  p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM m a JOIN m b ON a.m = b.m AND a.word <> b.word
+        UNION ALL SELECT long, short, short_n FROM l UNION ALL SELECT short, long, long_n FROM l),
+  q AS (SELECT word, count(*) AS n_near, first({{'n': near_n, 'near': near}} ORDER BY near_n DESC, near) AS best FROM p GROUP BY 1),
+  f AS (SELECT v.word, CASE WHEN best.n >= 10 * v.n THEN best.near END AS form, v.n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN best.n >= 10 * v.n THEN best.n END AS form_n FROM v LEFT JOIN q ON v.word = q.word),
+  x AS (SELECT word, word AS root, form AS next FROM f
+        UNION ALL SELECT x.word, f.word, f.form FROM x JOIN f ON x.next = f.word)
+SELECT f.word, f.form, x.root, f.n, f.n_near, f.form_n FROM f JOIN x ON f.word = x.word AND x.next IS NULL"""
+
+
+def _leaf_sql(changed: str) -> str:
+    texts = [f"CAST({c + ' + ' + changed if c == 'n_chars' else c} AS VARCHAR)" for c in manifest.FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+_TREE_SQL = """SELECT {key}, 0 AS level, list(digest ORDER BY {order}) AS nodes FROM {leaves} GROUP BY 1
+        UNION ALL
+        SELECT {key}, level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+        FROM {name} WHERE len(nodes) > 1"""
+
+_MANIFEST_SQL = f"""
+WITH RECURSIVE
+  c AS (SELECT doc_id, coalesce('=' || lang, '-') AS k, {_leaf_sql("0")} AS digest, {_leaf_sql("1")} AS changed,
+               {_CRC32.format(bytes="list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: unicode(x))")} % 7 = 0 AS hit FROM documents),
+  d AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, digest) - 1 AS pos FROM c),
+  t AS ({_TREE_SQL.format(key="k", order="pos", leaves="d", name="t")}),
+  s AS (SELECT k, nodes[1] AS digest, row_number() OVER (ORDER BY k) - 1 AS place, 0 AS z FROM t WHERE len(nodes) = 1),
+  u AS ({_TREE_SQL.format(key="z", order="place", leaves="s", name="u")}),
+  -- The siblings of a leaf: its own tree's, then those of the tree of subroots.
+  n AS (SELECT d.k, d.pos, t.level, (d.pos >> t.level) AS place, t.nodes FROM d JOIN t ON d.k = t.k AND len(t.nodes) > 1
+        UNION ALL
+        SELECT d.k, d.pos, 100 + u.level, s.place >> u.level, u.nodes FROM d JOIN s ON d.k = s.k JOIN u ON len(u.nodes) > 1),
+  p AS (SELECT k, pos, list({{'left': CASE WHEN place % 2 = 1 THEN nodes[place] END, 'right': CASE WHEN place % 2 = 0 THEN nodes[place + 2] END}} ORDER BY level) AS path
+        FROM n GROUP BY 1, 2),
+  a AS (SELECT d.*, coalesce(path, []) AS path, s.digest AS subroot, (SELECT nodes[1] FROM u WHERE len(nodes) = 1) AS root
+        FROM d JOIN s ON d.k = s.k LEFT JOIN p ON d.k = p.k AND d.pos = p.pos),
+  f AS (SELECT k, pos, path, 0 AS i, CASE WHEN hit THEN changed ELSE digest END AS node FROM a
+        UNION ALL
+        SELECT k, pos, path, i + 1, sha256(coalesce(path[i + 1].left, '') || node || coalesce(path[i + 1].right, '')) FROM f WHERE i < len(path))
+SELECT doc_id, digest AS leaf, subroot, root,
+       sha256(coalesce(array_to_string(list_transform(a.path, lambda x: coalesce(x.left, x.right, '')), ''), '')) AS proof_sha256,
+       f.node AS folded_root, f.node = root AS verified
+FROM a JOIN f ON a.k = f.k AND a.pos = f.pos AND f.i = len(f.path)"""
+
+
 def oracle_sql():
-    return {"op1_pfair_mixing": _MIXING_SQL, "op2_vector_approximation": _TOP_K_SQL, "op5_sentence_rules": _licenses_sql(), "op10_minhash_near_dedup": _NEAR_SQL}
+    return {
+        "op1_pfair_mixing": _MIXING_SQL, "op2_vector_approximation": _TOP_K_SQL, "op5_sentence_rules": _licenses_sql(), "op10_minhash_near_dedup": _NEAR_SQL,
+        "op11_bit_sliced_variants": _VARIANTS_SQL, "op12_pointer_proofs": _MANIFEST_SQL,
+    }
