@@ -30,6 +30,7 @@ from commutewell.llm.common import stored
 
 SPAN = 10  # levels of a tree that are built from one run of digests
 TAMPER = 7  # of so many ids one is tampered with, by the checksum of the id
+BROADCAST = 8 << 20  # bytes of nodes ahead that may be copied to every executor; more are shuffled
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -104,8 +105,19 @@ def tree_levels(leaves: DataFrame, height: int, name: str) -> tuple[DataFrame, D
     return reduce(DataFrame.unionByName, built), reduce(DataFrame.unionByName, roots)
 
 
-def jump(nodes: DataFrame, items: DataFrame, height: int, name: str) -> DataFrame:
-    """``items`` (tree, pos, item) of the leaves with ``path``, the siblings up to their root as (left, right)."""
+def _ahead(nodes: DataFrame, rows: int, distance: int) -> DataFrame:
+    """``nodes``, broadcast where ``rows`` of them with so many siblings take few bytes.
+
+    High levels have few nodes, each ahead of very many leaves: a shuffle would deal these to few tasks.
+    """
+    return F.broadcast(nodes) if rows * (70 * distance + 100) <= BROADCAST else nodes
+
+
+def jump(nodes: DataFrame, items: DataFrame, n_leaves: int, n_trees: int, height: int, name: str) -> DataFrame:
+    """``items`` (tree, pos, item) of the leaves with ``path``, the siblings up to their root as (left, right).
+
+    ``n_leaves`` leaves stand in ``n_trees`` trees of up to ``height`` levels.
+    """
     own = F.array(F.struct("left", "right")).alias("path")
     up = [(F.col("level") + 1).alias("up_level"), F.shiftright("pos", 1).alias("up_pos")]
     inner = nodes.filter("level > 0").select("tree", "level", "pos", *up, own)
@@ -121,7 +133,7 @@ def jump(nodes: DataFrame, items: DataFrame, height: int, name: str) -> DataFram
             F.col("up_level").alias("far_level"), F.col("up_pos").alias("far_pos"), F.col("path").alias("more"),
         )
 
-        def joined(rows: DataFrame, ahead: DataFrame = ahead) -> DataFrame:
+        def joined(rows: DataFrame, ahead: DataFrame) -> DataFrame:
             rows = rows.join(ahead, ["tree", "up_level", "up_pos"], "left")
             return rows.withColumns(
                 {
@@ -131,8 +143,8 @@ def jump(nodes: DataFrame, items: DataFrame, height: int, name: str) -> DataFram
                 }
             ).drop("far_level", "far_pos", "more")
 
-        leaves = joined(leaves)
-        inner = stored(joined(inner.filter(F.col("level") % (2 * distance) == 0)), f"{name}-{distance}")  # read twice
+        leaves = joined(leaves, _ahead(ahead.filter(F.col("up_level") == distance), (n_leaves >> distance) + n_trees, distance))
+        inner = stored(joined(inner.filter(F.col("level") % (2 * distance) == 0), ahead), f"{name}-{distance}")  # read twice
         distance *= 2
     return leaves.select("tree", "pos", "item", "path")
 
@@ -164,17 +176,18 @@ def proved(rows: DataFrame, tree: Column, order: list[str], digest: str) -> Data
     by = [f"by_{i}" for i in range(len(order))]
     leaves = rows.select(tree.alias("tree"), *[F.col(c).alias(b) for c, b in zip(order, by)], F.col(digest).alias("digest"), F.struct("*").alias("item"))
     leaves = stored(positioned(leaves, by, "leaves"), "positions")
-    widest, n_trees = leaves.agg(F.max("n"), F.count_if(F.col("pos") == 0)).first()
+    n_leaves, widest, n_trees = leaves.agg(F.count("*"), F.max("n"), F.count_if(F.col("pos") == 0)).first()
     nodes, subroots = tree_levels(leaves, _height(widest or 1), "tree")
-    paths = jump(nodes, leaves.select("tree", "pos", "item"), _height(widest or 1), "path")
+    paths = jump(nodes, leaves.select("tree", "pos", "item"), n_leaves, n_trees, _height(widest or 1), "path")
 
     trees = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest")
     trees = stored(positioned(trees, ["name"], "trees"), "tree-positions")
     nodes, root = tree_levels(trees, _height(n_trees or 1), "top")
-    tops = jump(nodes, trees.select("tree", "pos", F.struct("name", "digest").alias("item")), _height(n_trees or 1), "top-path")
+    tops = jump(nodes, trees.select("tree", "pos", F.struct("name", "digest").alias("item")), n_trees, 1, _height(n_trees or 1), "top-path")
     tops = tops.join(root.withColumnRenamed("digest", "root"), "tree").select(
         F.col("item.name").alias("tree"), F.col("item.digest").alias("subroot"), "root", F.col("path").alias("top")
     )
+    tops = _ahead(tops, n_trees, _height(n_trees or 1) + 2)
     return paths.join(tops, "tree").select("tree", "item", "subroot", "root", F.concat("path", "top").alias("path"))
 
 
