@@ -38,12 +38,15 @@ from commutewell.operators.filters import matching_modes
 from commutewell.operators.lookup import geocode
 from commutewell.operators.merge import add, apply_changes, unprocessed, upsert
 from commutewell.plans import landing, loads, reports
+from commutewell.plans.contributions import CONTRIBUTE, stream_contributions
 from commutewell.plans.lake import Lake, Parameters
 from commutewell.session import work_dir
+from commutewell.sinks.changes import ChangedTable
 from commutewell.sinks.files import drop_batch, overwrite
 from commutewell.sinks.snapshot import SnapshotTable
 from commutewell.sources.files import count_files, entry_of, inventory, read_activity_csv, read_parquet
 from commutewell.streaming.bronze import land, stream_files
+from commutewell.streaming.delivery import once
 from commutewell.streaming.facts import ACCUMULATE, GEO_UPDATE, REPLACE, stream_facts
 
 try:  # the only guard: the subpackage and its pipeline may both be absent
@@ -609,6 +612,94 @@ def q52_injected_events(spark, sf_dir):
     return lake.eligibility.read().drop("date_calcul_dwh")
 
 
+# --- Facts by origin, stored change feeds, repeated delivery ---------------------------------------
+
+BY_ORIGIN = Parameters(live_threshold=3, live_mode=CONTRIBUTE)
+
+
+def _in_parts(rows, folder, part, n, run):
+    """Drop ``rows`` in ``n`` parts by the column ``part`` and call ``run`` with the stream of all drops after each."""
+    for i in range(n):
+        drop_batch(rows.where(part == i), folder, f"part{i}")
+        run(stream_files(rows.sparkSession, f"{folder}/*.parquet", rows.schema)).awaitTermination()
+
+
+def _stream_by_origin(rows, lake):
+    part = F.pmod(F.hash("date_activite", "id_salarie", "moyen_de_deplacement", "salaire_brut"), F.lit(3))
+    checkpoint = f"{lake.checkpoints}/facts"
+    _in_parts(rows, f"{lake.root}/in", part, 3, lambda s: stream_contributions(s, checkpoint, lake, BY_ORIGIN, bounded=True))
+
+
+def q53_reset_keeps_streams(spark, sf_dir):
+    """Streamed and live activities of the same employees; a reset takes back the live ones only, which come again."""
+    lake = fresh_lake(spark, "withdrawn")
+    rows = contract_activities(spark, sf_dir)
+    live = F.substring("date_activite", 9, 2) > "15"
+    _stream_by_origin(rows.where(~live), lake)
+    drop_batch(rows.where(live), lake.drops, "rest")
+    loads.load_live(lake, BY_ORIGIN)
+    loads.reset_live(lake, BY_ORIGIN)
+    loads.load_live(lake, BY_ORIGIN)
+    return lake.eligibility.read().drop("date_calcul_dwh")
+
+
+def salaried_activities(spark, sf_dir):
+    """Orders as activities with a salary of their own each."""
+    salary = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id_salarie"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date_activite"),
+        F.col("o_totalprice").cast("float").alias("salaire_brut"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "Marche/running").otherwise("Transports en commun").alias("moyen_de_deplacement"),
+        F.when(F.col("o_orderstatus") != "P", "Natation").alias("type_sport"),
+    )
+    return conform(salary, ACTIVITY, {"nom": "", "prenom": ""})
+
+
+def q54_late_salaries(spark, sf_dir):
+    """Three micro-batches in no order of time: the salary of the latest activity counts, whenever it arrived."""
+    lake = fresh_lake(spark, "salaries")
+    _stream_by_origin(salaried_activities(spark, sf_dir), lake)
+    return lake.bonus.read().drop("date_calcul_dwh")
+
+
+def q55_live_withdrawn(spark, sf_dir):
+    """History and live activities of the same years; after a reset the history's facts are back."""
+    lake = fresh_lake(spark, "history-left")
+    rows = contract_activities(spark, sf_dir)
+    late = F.substring("date_activite", 6, 2) > "06"
+    landing.land_history(lake, messages(rows.where(~late)), from_json_payload(ACTIVITY))
+    loads.load_history(lake, BY_ORIGIN)
+    drop_batch(rows.where(late), lake.drops, "late")
+    loads.load_live(lake, BY_ORIGIN)
+    loads.reset_live(lake, BY_ORIGIN)
+    return lake.bonus.read().drop("date_calcul_dwh")
+
+
+def q56_stored_changes(spark, sf_dir):
+    """A change feed in three shuffled batches, with deletes that arrive before what they delete."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", "ts")
+    present = ChangedTable(spark, work_dir(spark, "changes"), events.schema, ["user_id"], ["ts", "event_id"])
+    flag = F.when(F.col("event_type") == "error", "true").otherwise("false").alias("__deleted")
+    for n in range(3):
+        present.apply(events.select("*", flag).where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == n), stream="feed", batch=n)
+    return present.read().drop("ts")
+
+
+def q57_repeated_delivery(spark, sf_dir):
+    """A stream in order of arrival that delivers a third of what it had before again with every batch."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx("ts", [0.33, 0.66])).first()[0]
+    arrival = F.when(F.col("ts") <= cuts[0], 0).when(F.col("ts") <= cuts[1], 1).otherwise(2)
+    again = F.when(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0, F.sequence(arrival, F.lit(2))).otherwise(F.array(arrival))
+    delivered = events.select("*", F.explode(again).alias("part"))
+    work = work_dir(spark, "delivery")
+    _in_parts(
+        delivered, f"{work}/in", F.col("part"), 3,
+        lambda s: land(once(s, ["event_id"], "ts", "1 hour"), f"{work}/landed", f"{work}/checkpoint", bounded=True),
+    )
+    landed = read_parquet(spark, f"{work}/landed/*.parquet", delivered.schema)
+    return landed.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("n_events"))
+
+
 # --- Contract with the driver ---------------------------------------------------------------------
 
 
@@ -881,8 +972,20 @@ SELECT a AS total_salaries, f AS total_faits, r AS total_rejets, CAST(1 AS BIGIN
        CAST(r AS DOUBLE) / CAST(f + r AS DOUBLE) * 100 > 50 AS alerte_qualite, true AS alerte_fichiers, false AS alerte_vide
 FROM m""",
 }
+_SQL["q54_late_salaries"] = """
+SELECT CAST(o_custkey AS INTEGER) AS id_salarie, CAST(year(o_orderdate) AS INTEGER) AS annee_civile, 'Marche/running' AS moyen_de_deplacement,
+       CAST(arg_max(CAST(o_totalprice AS FLOAT), (o_orderdate, CAST(o_totalprice AS FLOAT))) AS DOUBLE) AS salaire_brut_base,
+       CAST(arg_max(CAST(o_totalprice AS FLOAT), (o_orderdate, CAST(o_totalprice AS FLOAT))) AS DOUBLE) * CAST(0.05 AS DOUBLE) AS montant_prime,
+       'A PAYER' AS statut_paiement, 'LIVE' AS source_donnees
+FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2"""
+_SQL["q55_live_withdrawn"] = f"""
+SELECT id_salarie, annee_civile, moyen_de_deplacement, salaire AS salaire_brut_base, count(*) * CAST(2.5 AS DOUBLE) AS montant_prime,
+       'A PAYER' AS statut_paiement, 'INITIAL_LOAD_BIS' AS source_donnees
+FROM ({_HISTORY}) WHERE moyen_de_deplacement <> 'Transports en commun' AND month(o_orderdate) <= 6 GROUP BY 1,2,3,4"""
+_SQL["q56_stored_changes"] = _SQL["q23_apply_changes"]
+_SQL["q57_repeated_delivery"] = "SELECT user_id, event_type, count(*) AS n, count(*) AS n_events FROM events GROUP BY 1, 2"
 # Every one of these loads ends with the eligibility of all activities.
-for _name in ("q45_live_accumulate", "q48_stream_then_live", "q52_injected_events"):
+for _name in ("q45_live_accumulate", "q48_stream_then_live", "q52_injected_events", "q53_reset_keeps_streams"):
     _SQL[_name] = _SQL["q37_live_eligibility"]
 _SQL["q47_stream_bonus"] = _SQL["q43_live_bonus"]
 

@@ -37,13 +37,14 @@ def _parser() -> argparse.ArgumentParser:
     inject = jobs.add_parser("inject", help="drop the events of a CSV file")
     inject.add_argument("csv")
     history = jobs.add_parser("load-history", help="facts and reference from the history zone")
+    history.add_argument("--mode", choices=("replace", "contribute"), default="replace")
     history.add_argument("--threshold", type=int, default=facts.HISTORY_THRESHOLD)
     history.add_argument("--one-way-km", type=float, default=facts.ONE_WAY_KM)
     history.add_argument("--euro-per-km", type=float, default=facts.EURO_PER_KM)
     live = jobs.add_parser("load-live", help="merge the new bronze files into facts and reference")
     live.add_argument("--rate", type=float, default=facts.BONUS_RATE)
     live.add_argument("--threshold", type=int, default=facts.LIVE_THRESHOLD)
-    live.add_argument("--mode", choices=("replace", "accumulate"), default="replace")
+    live.add_argument("--mode", choices=("replace", "accumulate", "contribute"), default="replace")
     reference = jobs.add_parser("load-reference", help="replace the reference by an HR export")
     reference.add_argument("csv")
     jobs.add_parser("audit", help="refill the quarantine and show checks and alert")
@@ -85,6 +86,7 @@ def main(arguments: list[str] | None = None) -> None:
             loads.load_history(
                 lake,
                 Parameters(
+                    live_mode=options.mode,
                     history_threshold=options.threshold,
                     one_way_km=options.one_way_km,
                     euro_per_km=options.euro_per_km,
@@ -100,7 +102,9 @@ def main(arguments: list[str] | None = None) -> None:
         case "audit":
             report = reports.audit(lake)
             report["checks"].show(truncate=False)
-            report["alert"].orderBy(F.desc_nulls_last("n")).select(F.coalesce("message", "name").alias("alert")).show(truncate=False)
+            lines = report["alert"].orderBy(F.desc_nulls_last("n")).select(F.coalesce("message", "name").alias("alert"))
+            for line in lines.toLocalIterator():  # every person, one partition at a time
+                print(line.alert)
         case "health":
             print(reports.health_report(lake).first().rapport)
         case "counts":

@@ -101,6 +101,20 @@ QUARANTINE = T.StructType(
     ]
 )
 
+# What one origin of activities adds to the facts of an employee, year and mode.
+CONTRIBUTION = T.StructType(
+    [
+        T.StructField("origine", T.StringType(), False),
+        T.StructField("id_salarie", T.IntegerType(), False),
+        T.StructField("annee_civile", T.IntegerType(), False),
+        T.StructField("moyen_de_deplacement", T.StringType(), False),
+        T.StructField("nombre_activites", T.LongType()),
+        T.StructField("nombre_jours", T.LongType()),
+        T.StructField("salaire_brut", T.DoubleType()),
+        T.StructField("dernier_moment", T.TimestampNTZType()),
+    ]
+)
+
 # Headers of the HR export and the technical names they map to.
 HR_HEADERS = {
     "ID salarié": "id_salarie",
@@ -151,7 +165,8 @@ class TableContract:
     """Layout and rules of one gold table.
 
     ``partition_by`` names the column whose values are directories; a keyed merge rewrites only the
-    directories its source touches, so the column must be part of ``keys``.
+    directories its source touches, so the column must be part of ``keys``. A table without such a column may be
+    cut to ``buckets`` by a hash of its keys instead, each a directory of its own.
     """
 
     name: str
@@ -159,6 +174,12 @@ class TableContract:
     keys: tuple[str, ...] = ()
     defaults: Mapping[str, object] = field(default_factory=dict)
     partition_by: str | None = None
+    buckets: int = 0
+
+    def bucket(self) -> Column:
+        """Bucket of a row by its keys, whatever integer or text type they come in."""
+        keys = [F.col(k).cast(self.schema[k].dataType) for k in self.keys]
+        return F.pmod(F.hash(*keys), F.lit(self.buckets))
 
     @property
     def columns(self) -> list[str]:
@@ -196,7 +217,13 @@ BONUS_TABLE = TableContract(
 ELIGIBILITY_TABLE = TableContract(
     "fct_bien_etre_eligibilite", ELIGIBILITY, keys=("id_salarie", "annee_civile"), partition_by="annee_civile"
 )
-REFERENCE_TABLE = TableContract("ref_salaries", REFERENCE, keys=("id_salarie",))
+REFERENCE_TABLE = TableContract("ref_salaries", REFERENCE, keys=("id_salarie",), buckets=8)
+CONTRIBUTION_TABLE = TableContract(
+    "contributions",
+    CONTRIBUTION,
+    keys=("origine", "id_salarie", "annee_civile", "moyen_de_deplacement"),
+    partition_by="annee_civile",
+)
 QUARANTINE_TABLE = TableContract("soda_failed_rows", QUARANTINE)
 
 

@@ -143,6 +143,67 @@ def live_summary(activities: DataFrame, tie_break: Iterable[str] = ("salaire_bru
     )
 
 
+def contributions(activities: DataFrame, origin: str) -> DataFrame:
+    """What ``activities`` add to the facts, per employee, year and mode: sports, days, latest salary and its moment.
+
+    Contributions of any parts of the activities add up to those of all, in any order: counts are summed and the
+    salary of the latest moment stays, of equal moments the highest. A missing mode is kept as empty text.
+    """
+    moment = moment_of(activities, "date_activite").cast("timestamp_ntz").alias("_moment")
+    mode = F.coalesce("moyen_de_deplacement", F.lit("")).alias("moyen_de_deplacement")
+    rows = _dated(activities, mode, moment, F.col("salaire_brut").cast("double").alias("salaire_brut"), "type_sport")
+    summary = rows.groupBy("id_salarie", "annee_civile", "moyen_de_deplacement").agg(
+        F.count("type_sport").alias("nombre_activites"),
+        F.count("*").alias("nombre_jours"),
+        F.max(F.struct("_moment", "salaire_brut")).alias("_last"),
+    )
+    return summary.select(
+        F.lit(origin).alias("origine"), "id_salarie", "annee_civile", "moyen_de_deplacement", "nombre_activites", "nombre_jours",
+        F.col("_last.salaire_brut").alias("salaire_brut"), F.col("_last._moment").alias("dernier_moment"),
+    )
+
+
+def bonus_from_contributions(
+    rows: DataFrame,
+    rate: float = BONUS_RATE,
+    one_way_km: float = ONE_WAY_KM,
+    euro_per_km: float = EURO_PER_KM,
+    modes: Iterable[str] = SUSTAINABLE_MODES,
+) -> DataFrame:
+    """Transport bonus of all origins together.
+
+    A key with live contributions earns the rate on its latest salary, one that only the history knows its days'
+    distance.
+    """
+    keys = ["id_salarie", "annee_civile", "moyen_de_deplacement"]
+    sums = in_modes(rows, modes).groupBy(*keys).agg(
+        F.sum("nombre_jours").alias("_days"),
+        F.max(F.struct("dernier_moment", "salaire_brut")).alias("_last"),
+        F.max(F.col("origine") != HISTORY).alias("_live"),
+    )
+    base = F.col("_last.salaire_brut")
+    amount = F.when(F.col("_live"), base * F.lit(rate)).otherwise(F.col("_days") * F.lit(one_way_km * 2 * euro_per_km))
+    bonus = sums.select(*keys, base.alias("salaire_brut_base"), amount.alias("montant_prime"), F.lit(TO_PAY).alias("statut_paiement"), "_live")
+    return _stamp_by_origin(bonus)
+
+
+def eligibility_from_contributions(
+    rows: DataFrame, live_threshold: int = LIVE_THRESHOLD, history_threshold: int = HISTORY_THRESHOLD
+) -> DataFrame:
+    """Eligibility of all origins together; a key with live contributions is judged by the live threshold."""
+    counts = rows.where("nombre_activites > 0").groupBy("id_salarie", "annee_civile").agg(
+        F.sum("nombre_activites").alias("nombre_activites_total"), F.max(F.col("origine") != HISTORY).alias("_live")
+    )
+    threshold = F.when(F.col("_live"), F.lit(live_threshold)).otherwise(F.lit(history_threshold))
+    judged = counts.withColumns({"seuil_applique": threshold, "est_eligible": F.col("nombre_activites_total") >= threshold})
+    return _stamp_by_origin(judged)
+
+
+def _stamp_by_origin(df: DataFrame) -> DataFrame:
+    source = F.when(F.col("_live"), F.lit(LIVE)).otherwise(F.lit(HISTORY))
+    return stamp(df, LIVE).withColumn("source_donnees", source).drop("_live")
+
+
 def bonus_from_summary(
     summary: DataFrame,
     rate: float = BONUS_RATE,

@@ -29,6 +29,8 @@ def upsert(
     defaults: Mapping[str, object] | None = None,
     unique_source: bool = False,
     full_keys: bool = False,
+    control: Iterable[str] = (),
+    delete: Column | None = None,
 ) -> DataFrame:
     """``target`` after inserting the rows of ``source`` or updating those with an equal key.
 
@@ -43,15 +45,18 @@ def upsert(
     Keys are unique on both sides of the join, so no key is hot. Rows without a full key would all
     meet in one task and are led around the join, at the price of a filtered second read. Say
     ``full_keys`` where they cannot be many: a contract table, an aggregate by the keys.
+
+    ``control`` names columns of the source that only rules and ``delete`` use, as ``new_<name>``. Keys for which the
+    condition ``delete`` over ``old_<name>`` and ``new_<name>`` holds are left out of the result.
     """
     keys = list(keys)
     names = target.columns
     defaults = defaults or {}
-    unknown = set(source.columns) - set(names)
+    unknown = set(source.columns) - set(names) - set(control)
     if unknown:
         raise ValueError(f"the target has no column {sorted(unknown)}")
     if update is None:
-        update = [c for c in names if c in source.columns and c not in keys]
+        update = [c for c in names if c in source.columns and c not in {*keys, *control}]
     rules = dict(update) if isinstance(update, Mapping) else dict.fromkeys(update, take_new)
     types = {f.name: f.dataType for f in target.schema.fields}
 
@@ -71,6 +76,8 @@ def upsert(
 
     same_key = reduce(lambda a, b: a & b, [F.col(f"old_{k}") == F.col(f"new_{k}") for k in keys])
     joined = old.join(new, same_key, "full_outer")
+    if delete is not None:
+        joined = joined.where(~F.coalesce(delete, F.lit(False)))
     is_old, is_new = F.col("old_hit").isNotNull(), F.col("new_hit").isNotNull()
 
     def merged(name: str) -> Column:
@@ -128,6 +135,22 @@ def apply_changes(
     return present.select(*[c if c in keys else F.col(f"_last.{c}").alias(c) for c in feed.columns if c != delete_flag])
 
 
+def last_images(
+    feed: DataFrame, keys: Iterable[str], sequence: Iterable[str], delete_flag: str = "__deleted"
+) -> DataFrame:
+    """The last image of every key in a change feed, deletes included: keys, the other columns, ``_sequence`` and ``_deleted``.
+
+    ``_sequence`` is the struct of the ``sequence`` columns. Tombstones say nothing and are left out.
+    """
+    keys, sequence = list(keys), list(sequence)
+    images = feed.where(F.col(delete_flag).isNotNull())
+    rest = [c for c in feed.columns if c not in {*keys, *sequence, delete_flag}]
+    row = F.struct(*rest, (F.col(delete_flag) == "true").alias("_deleted"))
+    rank = F.struct(*sequence)
+    last = images.groupBy(*keys).agg(F.max_by(row, rank).alias("_row"), F.max(rank).alias("_sequence"))
+    return last.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest], "_sequence", "_row._deleted")
+
+
 def unprocessed(items: DataFrame, ledger: DataFrame, key: str | Mapping[str, str]) -> DataFrame:
     """Rows of ``items`` whose ``key`` is not in ``ledger``.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from commutewell.contract import (
     BONUS_TABLE,
+    CONTRIBUTION_TABLE,
     ELIGIBILITY_TABLE,
     QUARANTINE_TABLE,
     REFERENCE_TABLE,
@@ -28,7 +29,7 @@ class Parameters:
     history_threshold: int = op.HISTORY_THRESHOLD
     one_way_km: float = op.ONE_WAY_KM
     euro_per_km: float = op.EURO_PER_KM
-    live_mode: str = "replace"
+    live_mode: str = "replace"  # or "accumulate", or "contribute" (plans.contributions)
 
 
 class Lake:
@@ -55,6 +56,7 @@ class Lake:
         self.bonus = SnapshotTable(spark, f"{self.root}/gold/fct_primes_transport", BONUS_TABLE)
         self.eligibility = SnapshotTable(spark, f"{self.root}/gold/fct_bien_etre_eligibilite", ELIGIBILITY_TABLE)
         self.reference = SnapshotTable(spark, f"{self.root}/gold/ref_salaries", REFERENCE_TABLE)
+        self.contributions = SnapshotTable(spark, f"{self.root}/silver/contributions", CONTRIBUTION_TABLE)
         self.quarantine = SnapshotTable(spark, f"{self.root}/gold/soda_failed_rows", QUARANTINE_TABLE)
 
     # --- live batches ---

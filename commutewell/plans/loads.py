@@ -11,6 +11,7 @@ from commutewell.functions.dates import moment_of
 from commutewell.operators import facts as op
 from commutewell.operators.dedup import one_per_key
 from commutewell.operators.quality import undated
+from commutewell.plans.contributions import CONTRIBUTE, contribute, contribute_history, withdraw
 from commutewell.plans.lake import Lake, Parameters
 from commutewell.sources.files import read_activities, read_hr_csv
 from commutewell.streaming.facts import GEO_UPDATE, LIVE, merge_facts
@@ -23,7 +24,10 @@ def load_history(lake: Lake, parameters: Parameters = Parameters()) -> None:
     columns. Activities that no fact counts are set aside.
     """
     activities = read_activities(lake.spark, lake.history, required=True)
-    load_history_facts(lake, activities, parameters)
+    if parameters.live_mode == CONTRIBUTE:
+        contribute_history(lake, activities, parameters)
+    else:
+        load_history_facts(lake, activities, parameters)
     load_history_reference(lake, activities)
     undated(activities).write.mode("overwrite").parquet(f"{lake.undated}/history")
 
@@ -45,8 +49,11 @@ def load_history_reference(lake: Lake, activities: DataFrame) -> None:
     taken = [c for c in REFERENCE.names if c in ACTIVITY.names and c not in HISTORY_FIXED]
     moment = moment_of(activities, "date_activite").alias("_moment")
     people = activities.where(F.col("id_salarie").isNotNull()).select(*taken, moment)
-    latest = one_per_key(people, ["id_salarie"], newest=["_moment"])
-    lake.reference.merge(conform(latest, REFERENCE, HISTORY_FIXED), unique_source=True)
+    latest = conform(one_per_key(people, ["id_salarie"], newest=["_moment"]), REFERENCE, HISTORY_FIXED)
+    if lake.reference.version:
+        latest = latest.persist(StorageLevel.DISK_ONLY)  # read for the buckets it touches, then for its rows
+    lake.reference.merge(latest, unique_source=True)
+    latest.unpersist()
 
 
 def load_live(lake: Lake, parameters: Parameters = Parameters()) -> int:
@@ -61,15 +68,18 @@ def load_live(lake: Lake, parameters: Parameters = Parameters()) -> int:
         return 0
     # Entries nest; nothing in their names is a partition column.
     activities = lake.spark.read.schema(ACTIVITY).option("recursiveFileLookup", "true").parquet(folder)
-    merge_facts(
-        activities,
-        number,
-        lake.eligibility,
-        lake.bonus,
-        mode=parameters.live_mode,
-        rate=parameters.bonus_rate,
-        threshold=parameters.live_threshold,
-    )
+    if parameters.live_mode == CONTRIBUTE:
+        contribute(lake, activities, LIVE, number, parameters)
+    else:
+        merge_facts(
+            activities,
+            number,
+            lake.eligibility,
+            lake.bonus,
+            mode=parameters.live_mode,
+            rate=parameters.bonus_rate,
+            threshold=parameters.live_threshold,
+        )
     lake.reference.merge(op.geo_update(activities), GEO_UPDATE, unique_source=True, stream=LIVE, batch=number)
     op.congratulations(activities).write.mode("overwrite").parquet(f"{lake.messages}/batch={number}")
     undated(activities).write.mode("overwrite").parquet(f"{lake.undated}/{LIVE}-{number}")
@@ -91,13 +101,21 @@ def load_reference(lake: Lake, csv_path: str) -> int:
     return lake.reference.replace(conform(export, REFERENCE, CSV_FIXED))
 
 
-def reset_live(lake: Lake) -> None:
-    """Empty both facts and put the processed batches back, so that they are all processed again.
+def reset_live(lake: Lake, parameters: Parameters = Parameters()) -> None:
+    """Take what the live load added back out of the facts and put its batches back, to be processed again.
 
-    What was set aside from other origins stays.
+    Where facts are held as contributions, those of other origins stay. Elsewhere both facts are emptied, which is
+    refused when another origin has added to them: its rows would not come again. What was set aside from other
+    origins stays.
     """
-    lake.bonus.clear()
-    lake.eligibility.clear()
+    if lake.contributions.version:
+        withdraw(lake, LIVE, parameters)
+    else:
+        others = (lake.bonus.streams() | lake.eligibility.streams()) - {LIVE}
+        if others:
+            raise ValueError(f"the facts also hold {sorted(others)}, which a reset would lose; load with live_mode={CONTRIBUTE!r}")
+        lake.bonus.clear()
+        lake.eligibility.clear()
     lake.reference.forget(LIVE)
     lake.storage.delete(lake.messages)
     for name in lake.storage.names(lake.undated):

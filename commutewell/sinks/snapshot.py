@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commutewell.contract import ContractViolation, TableContract
@@ -20,6 +20,7 @@ from commutewell.sources.files import empty
 from commutewell.sources.storage import Storage
 
 WHOLE = ""  # part name of a table without partitions
+BUCKET = "_bucket"  # partition column of a table that is cut by a hash of its keys
 
 
 class ConcurrentCommit(RuntimeError):
@@ -38,6 +39,7 @@ class SnapshotTable:
         self.root = root.rstrip("/")
         self.contract = contract
         self._storage = Storage(spark)
+        self._partition = contract.partition_by or (BUCKET if contract.buckets else None)
 
     # --- reading ---
 
@@ -45,7 +47,7 @@ class SnapshotTable:
         """Newest commit: its version, the version directory of each part, batch ids by stream."""
         names = [n for n in self._storage.names(f"{self.root}/commits") if n.endswith(".json")]
         if not names:
-            return {"commit": -1, "version": 0, "parts": {}, "applied": {}}
+            return {"commit": -1, "version": 0, "parts": {}, "applied": {}, "buckets": self.contract.buckets}
         return json.loads(self._storage.read_text(f"{self.root}/commits/{max(names)}"))
 
     @property
@@ -57,6 +59,10 @@ class SnapshotTable:
         """Id of the last micro-batch of ``stream`` in the table; -1 before the first."""
         return self._state()["applied"].get(stream, -1)
 
+    def streams(self) -> set[str]:
+        """Names of the streams whose batches are in the table."""
+        return set(self._state()["applied"])
+
     def read(self, parts: Iterable[object] | None = None) -> DataFrame:
         """The table, or only the given partition values."""
         return self._read(self._state()["parts"], parts)
@@ -78,11 +84,11 @@ class SnapshotTable:
             return None
         part, version = next(iter(located.items()))
         stored = self.spark.read.parquet(self._directory(version, part)).columns
-        return stored + ([self.contract.partition_by] if part != WHOLE else [])
+        return stored + ([self.contract.partition_by] if self.contract.partition_by else [])
 
     def _directory(self, version: int, part: str = WHOLE) -> str:
         path = f"{self.root}/data/v={version}"
-        return path if part == WHOLE else f"{path}/{self.contract.partition_by}={part}"
+        return path if part == WHOLE else f"{path}/{self.contract.partition_by or BUCKET}={part}"
 
     # --- writing ---
 
@@ -103,7 +109,7 @@ class SnapshotTable:
             if twice:
                 raise ContractViolation(f"{self.contract.name}: keys held by several rows, such as {twice}")
         located = {part: version for part in self._parts_of(version)}
-        self._commit(state, version, located, stream, batch)
+        self._commit(state | {"buckets": self.contract.buckets}, version, located, stream, batch)
         return written.count()
 
     def expire(self) -> int:
@@ -138,12 +144,17 @@ class SnapshotTable:
         unique_source: bool = False,
         stream: str | None = None,
         batch: int | None = None,
+        control: Iterable[str] = (),
+        delete: Column | None = None,
+        parts: Iterable[object] | None = None,
     ) -> bool:
         """Keyed upsert of ``source``; rewrites only the partitions that ``source`` touches.
 
         With ``stream`` and ``batch`` the last batch of that stream is skipped when it comes again (False), which
-        makes replays harmless; a lower number raises ``ImpossibleBatch``. A row without a full key is refused, as in ``replace``. The source of
-        a partitioned table is read twice: persist it when it is costly.
+        makes replays harmless; a lower number raises ``ImpossibleBatch``. A row without a full key is refused, as in ``replace``.
+        ``control`` and ``delete`` are those of ``upsert``. ``parts`` names the values of the partition column that
+        occur in the source, where the caller knows them. Else the source of a partitioned table that holds rows is
+        read twice: persist it when it is costly.
         """
         state = self._state()
         last = -1 if stream is None else state["applied"].get(stream, -1)
@@ -151,18 +162,47 @@ class SnapshotTable:
             raise ImpossibleBatch(f"{self.contract.name}: batch {batch} of {stream!r} after batch {last}")
         if stream is not None and batch == last:
             return False
-        partition = self.contract.partition_by
-        # One value per partition directory (civil years), so this list stays small.
-        touched = None if partition is None else [r[0] for r in source.select(partition).distinct().collect()]
+        touched = self._touched(source, state) if parts is None else list(parts)
         target = self._read(state["parts"], touched)
         merged = upsert(
-            target, source, self.contract.keys, update, self.contract.defaults, unique_source, full_keys=True
+            target, source, self.contract.keys, update, self.contract.defaults, unique_source, True, control, delete
         )
-        version = self._write(merged, state)
-        changed = {part: version for part in self._parts_of(version)}
-        self._commit(state, version, {**state["parts"], **changed}, stream, batch)
+        self._exchange(state, touched, merged, stream, batch)
         return True
 
+    def delete(self, condition: Column, forget: str | None = None) -> None:
+        """Remove the rows that meet ``condition``; rewrites only the partitions that hold some.
+
+        With ``forget`` batches of that stream may be applied again from the first one.
+        """
+        state = self._state()
+        if forget is not None:
+            state = state | {"applied": {name: batch for name, batch in state["applied"].items() if name != forget}}
+        touched = self._touched(self.read().where(condition), state)
+        if touched == []:
+            return self._commit(state, state["version"], state["parts"], None, None)
+        kept = self._read(state["parts"], touched).where(~F.coalesce(condition, F.lit(False)))
+        self._exchange(state, touched, kept, None, None)
+
+    def _touched(self, rows: DataFrame, state: dict) -> list[object] | None:
+        """Partition values that ``rows`` belong to; None where the whole table is to be written.
+
+        One value per partition directory (civil years, buckets), so the list stays small. A table that was stored
+        with another number of buckets is written whole once.
+        """
+        if self._partition is None or not state["parts"] or (self.contract.buckets and state.get("buckets", 0) != self.contract.buckets):
+            return None
+        value = self.contract.bucket() if self._partition == BUCKET else F.col(self._partition)
+        return [r[0] for r in rows.select(value.alias("part")).distinct().collect()]
+
+    def _exchange(self, state: dict, touched: list[object] | None, rows: DataFrame, stream: str | None, batch: int | None) -> None:
+        """Commit ``rows`` in place of the partitions ``touched``, of which some may have no row any more."""
+        version = self._write(rows, state)
+        replaced = set(state["parts"]) if touched is None else {str(p) for p in touched}
+        kept = {part: v for part, v in state["parts"].items() if part not in replaced}
+        state = state | {"buckets": self.contract.buckets}
+        self._commit(state, version, kept | {part: version for part in self._parts_of(version)}, stream, batch)
+
     def _next_version(self, state: dict) -> int:
         """Above every commit and every directory an earlier attempt may have left."""
         used = [int(n[2:]) for n in self._storage.names(f"{self.root}/data") if n.startswith("v=")]
@@ -170,7 +210,9 @@ class SnapshotTable:
 
     def _write(self, df: DataFrame, state: dict) -> int:
         version = self._next_version(state)
-        partition = self.contract.partition_by
+        partition = self._partition
+        if partition == BUCKET:
+            df = df.withColumn(BUCKET, self.contract.bucket())
         if partition is None:
             df.write.mode("error").parquet(self._directory(version))
         else:
@@ -187,7 +229,7 @@ class SnapshotTable:
         return reader.parquet(self._directory(version)).select(*self.contract.columns)
 
     def _parts_of(self, version: int) -> list[str]:
-        partition = self.contract.partition_by
+        partition = self._partition
         if partition is None:
             return [WHOLE]
         prefix = f"{partition}="
@@ -200,7 +242,9 @@ class SnapshotTable:
         """Publish the commit after ``state``; a second one after the same state is refused."""
         number = state["commit"] + 1
         applied = state["applied"] if stream is None else {**state["applied"], stream: batch}
-        text = json.dumps({"commit": number, "version": version, "parts": dict(located), "applied": applied})
+        text = json.dumps(
+            {"commit": number, "version": version, "parts": dict(located), "applied": applied, "buckets": state.get("buckets", 0)}
+        )
         self._storage.make_dirs(f"{self.root}/commits")
         if not self._storage.create_text(f"{self.root}/commits/{number:012d}.json", text):
             raise ConcurrentCommit(self.contract.name)

@@ -1,0 +1,129 @@
+"""Stored change feeds, deletes in upserts, buckets, repeated delivery."""
+
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from commutewell.contract import ContractViolation, TableContract
+from commutewell.operators.merge import apply_changes, upsert
+from commutewell.sinks.changes import ChangedTable
+from commutewell.sinks.files import drop_batch
+from commutewell.sinks.snapshot import SnapshotTable
+from commutewell.sources.files import read_parquet
+from commutewell.streaming.bronze import land, stream_files
+from commutewell.streaming.delivery import once
+
+TABLE = T.StructType().add("id", "integer").add("name", "string").add("at", "long").add("step", "integer")
+
+
+def feed(spark, images):
+    return spark.createDataFrame(images, "id int, name string, at long, step int, __deleted string")
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return ChangedTable(spark, f"{tmp_path}/table", TABLE, ["id"], ["at", "step"], buckets=4)
+
+
+def test_any_cut_equals_the_whole_feed(spark, tmp_path):
+    rng = random.Random(5)
+    images = [(rng.randrange(30), rng.choice((None, "a", "b")), n // 2, n, rng.choice(("true", "false", "false", None))) for n in range(300)]
+    want = rows(apply_changes(feed(spark, images), ["id"], ["at", "step"]), *TABLE.names)
+    for seed in (1, 2):
+        random.Random(seed).shuffle(images)
+        table = ChangedTable(spark, f"{tmp_path}/{seed}", TABLE, ["id"], ["at", "step"], buckets=4)
+        for n in range(3):
+            for _ in range(2):  # replayed
+                table.apply(feed(spark, images[n::3]), stream="feed", batch=n)
+        assert rows(table.read()) == want
+
+
+def test_late_images_and_deletes_lose(spark, table):
+    table.apply(feed(spark, [(1, "new", 5, 0, "false"), (2, None, 5, 0, "true"), (3, "x", 1, 0, "false")]))
+    table.apply(feed(spark, [(1, None, 4, 9, "true"), (2, "old", 4, 0, "false"), (3, None, 2, 0, "true"), (4, "y", 1, 0, None)]))
+    assert rows(table.read()) == [(1, "new", 5, 0)]
+    table.apply(feed(spark, [(3, "back", 3, 0, "false")]))
+    assert rows(table.read(), "id") == [(1,), (3,)]
+
+
+def test_purged_deletes_are_forgotten(spark, table):
+    table.apply(feed(spark, [(1, "a", 1, 0, "false"), (2, None, 5, 0, "true"), (3, None, 9, 0, "true")]))
+    table.purge(F.struct(F.lit(6).cast("long"), F.lit(0)))
+    table.apply(feed(spark, [(2, "old", 4, 0, "false"), (3, "old", 4, 0, "false")]))
+    assert rows(table.read(), "id") == [(1,), (2,)]
+
+
+def test_images_without_a_key_are_refused(spark, table):
+    with pytest.raises(ContractViolation):
+        table.apply(feed(spark, [(None, "a", 1, 0, "false")]))
+    assert table.read().collect() == []
+
+
+def test_upsert_deletes(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    source = spark.createDataFrame([(1, "x", True), (2, "y", False), (3, "z", True), (4, "w", False)], "id int, v string, gone boolean")
+    out = upsert(target, source, ["id"], ["v"], control=["gone"], delete=F.col("new_gone"))
+    assert rows(out) == [(2, "y"), (4, "w")]
+    assert rows(upsert(target, source, ["id"], control=["gone"])) == [(1, "x"), (2, "y"), (3, "z"), (4, "w")]
+
+
+PEOPLE = T.StructType().add("id", "integer").add("name", "string")
+
+
+def bucketed(spark, path, buckets):
+    return SnapshotTable(spark, path, TableContract("people", PEOPLE, ("id",), buckets=buckets))
+
+
+def test_a_batch_of_one_key_rewrites_one_bucket(spark, tmp_path):
+    table = bucketed(spark, f"{tmp_path}/t", 8)
+    table.merge(spark.range(200).select(F.col("id"), F.lit("old").alias("name")), unique_source=True)
+    parts = table._state()["parts"]
+    assert len(parts) == 8
+    table.merge(spark.createDataFrame([(7, "new")], "id long, name string"), unique_source=True)
+    after = table._state()["parts"]
+    assert sum(after[p] != v for p, v in parts.items()) == 1
+    assert table.read().where("name = 'new'").collect() == [(7, "new")]
+    assert table.read().count() == 200
+    # The files read for the batch are the one bucket's.
+    touched = table._touched(spark.createDataFrame([(7, "x")], "id long, name string"), table._state())
+    assert len(table._read(after, touched).inputFiles()) < len(table.read().inputFiles())
+
+
+def test_another_number_of_buckets_rewrites_the_table_once(spark, tmp_path):
+    rows_ = spark.range(50).select(F.col("id").cast("int"), F.lit("old").alias("name"))
+    for before, after in ((0, 4), (4, 8), (4, 0)):
+        path = f"{tmp_path}/{before}-{after}"
+        bucketed(spark, path, before).merge(rows_, unique_source=True)
+        bucketed(spark, path, before).forget("none")
+        table = bucketed(spark, path, after)
+        table.merge(spark.createDataFrame([(3, "new"), (99, "new")], PEOPLE), unique_source=True)
+        assert table.read().count() == 51
+        assert rows(table.read().where("name = 'new'"), "id") == [(3,), (99,)]
+        table.merge(spark.createDataFrame([(4, "newer")], PEOPLE), unique_source=True)
+        assert table.read().count() == 51
+
+
+def test_deleting_all_rows_of_a_partition_drops_it(spark, tmp_path):
+    table = bucketed(spark, f"{tmp_path}/t", 4)
+    table.merge(spark.range(20).select(F.col("id").cast("int"), F.lit("a").alias("name")), unique_source=True, stream="s", batch=0)
+    table.delete(F.col("id") >= 3, forget="s")
+    assert rows(table.read(), "id") == [(0,), (1,), (2,)]
+    assert table.applied("s") == -1
+    table.delete(F.lit(True))
+    assert table.read().collect() == [] and table._state()["parts"] == {}
+
+
+def test_repeated_deliveries_count_once(spark, tmp_path):
+    """Messages come again in their own batch, in the next one, and all of them after a read from the start."""
+    messages = [(n, f"v{n}", f"2026-01-01 {n // 60:02d}:{n % 60:02d}:00") for n in range(600)]
+    df = spark.createDataFrame(messages, "position long, v string, at string").withColumn("at", F.col("at").cast("timestamp"))
+    deliveries = [df.where("position < 200").unionByName(df.where("position % 3 = 0 AND position < 200")), df.where("position BETWEEN 150 AND 399"), df]
+    for n, part in enumerate(deliveries):
+        drop_batch(part, f"{tmp_path}/in", f"part{n}")
+        stream = stream_files(spark, f"{tmp_path}/in/*.parquet", df.schema)
+        land(once(stream, ["position"], "at", "30 minutes"), f"{tmp_path}/out", f"{tmp_path}/checkpoint", bounded=True).awaitTermination()
+    landed = read_parquet(spark, f"{tmp_path}/out/*.parquet", df.schema)
+    assert sorted(r.position for r in landed.collect()) == list(range(600))
