@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +36,7 @@ GRAMS = 4_000
 GRAM = 4
 BACKOFF = math.log(0.4)  # cost of each step to shorter n-grams
 CACHE = 50_000  # scored unseen words that a worker remembers
+LEAST = 0.4  # score below which a text counts as none of the languages
 SHARPNESS = 30  # words that count towards the score's certainty, at most
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -173,14 +174,21 @@ def identify(docs: DataFrame, parts: int = 3, part: int = 1) -> DataFrame:
     )
 
 
-def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is known: those without a letter go."""
+def accepted(docs: DataFrame, model: Model, languages: Iterable[str] | None = None, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs``, all columns, that are in one of ``languages`` (default: any the model knows) by a score of at least ``least``.
+
+    Texts without a letter go. Where no language could be learned, nothing can be told and all rows stay.
+    """
+    if not model.languages:
+        return docs
+    wanted = set(model.languages if languages is None else languages)
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model([], {})
         vars(known).update(shared.value)
         for batch in batches:
-            yield batch.filter(pa.array([known.predict(text.as_py())[0] != UNKNOWN for text in batch.column("text")], pa.bool_()))
+            found = (known.predict(text.as_py()) for text in batch.column("text"))
+            yield batch.filter(pa.array([lang in wanted and score >= least for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -91,7 +91,8 @@ RULES = (
 )
 
 # Every known sentence holds one of these; a text with none of them is not cut at all.
-ANCHORS = ("licen", "permission", "copyright", "warrant", "redistribut", "free software", "version 2", "contributors", "rights reserved", "unencumbered")
+# Parts of single words: what lies between two words of a sentence may be any signs and line ends.
+ANCHORS = ("licen", "permission", "copyright", "warrant", "redistribut", "software", "version", "contributors", "reserved", "unencumbered")
 
 _END = r"[.!?;:]+(?:\s+|$)"
 WRAPPED = _END + r"|\n[ \t\r]*\n\s*"

@@ -14,7 +14,8 @@ A link of similarity 0.75 shares no band with probability (1 - 0.75^4)^32 = 5e-6
 pass what lies five deviations below the threshold. No bucket, cluster or partner list is capped.
 
 Defined results: a text without words (or NULL) has no shingles and is linked with nothing; repeated rows are
-members of one class; a NULL id is never kept and never names a component; no rows give no rows; only
+members of one class; a row without an id links others like any other, but is never kept and names no component;
+no rows give no rows; only
 ``doc_id`` and ``text`` are read.
 """
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,9 +103,15 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 # --- Steps ----------------------------------------------------------------------------------------
 
 
+def row_key() -> Column:
+    """Names a row by its id and text, so that rows without an id and texts under one id are told apart."""
+    text = F.coalesce("text", F.lit(""))
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text").cast("string"), F.octet_length(text).cast("string"))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key and bands (NULL without words) of every row."""
-    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("n_shingles long, set_key binary, bands array<long>")])
+    """doc_id, row_key, n_shingles, set_key and bands (NULL without words) of every row."""
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("row_key string, n_shingles long, set_key binary, bands array<long>")])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,18 +121,20 @@ def sketches(docs: DataFrame) -> DataFrame:
                 counts.append(len(runs))
                 keys.append(set_key(runs))
                 bands.append(band_keys(minima(runs)) if len(runs) else None)
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            columns = [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(sketch, schema)
+    return docs.select("doc_id", "text", row_key().alias("row_key")).mapInArrow(sketch, schema)
 
 
 def classes_of(sketch: DataFrame) -> DataFrame:
-    """One row per distinct set: cnum (a number), set_key, first_doc and bands."""
+    """One row per distinct set: cnum (a number), set_key, bands, and id (if any row has one) and key of its first row."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc"), F.col("row_key").alias("key")))
     return (
         sketch.filter("set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("first_doc"), F.first("bands").alias("bands"))
+        .agg(first.alias("first"), F.first("bands").alias("bands"))
+        .select("set_key", "bands", F.col("first.doc").alias("first_doc"), F.col("first.key").alias("first_key"))
         .withColumn("cnum", F.monotonically_increasing_id())
     )
 
@@ -138,14 +147,12 @@ def bucket_members(classes: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """cnum, n, signature and shingles of every class in ``members``, from the text of its first document.
-
-    The text joins by id; where an id is repeated with other texts, the set's key tells which row is meant.
-    """
+    """cnum, n, signature and shingles of every class in ``members``, from the text of its first row."""
     wanted = classes.join(members.select("cnum").distinct(), "cnum", "left_semi").select(
-        "cnum", "set_key", F.col("first_doc").alias("doc_id")
+        "cnum", "set_key", F.col("first_key").alias("row_key")
     )
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").groupBy("doc_id", "cnum", "set_key", "text").agg(F.lit(0))
+    # Repeated rows have one key: each text once.
+    texts = docs.select(row_key().alias("row_key"), "text").join(wanted, "row_key").groupBy("row_key", "cnum", "set_key", "text").agg(F.lit(0))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,7 +253,7 @@ def cross_links(open_members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
+    """doc_id, n_shingles, component_id and kept of every row of ``docs``, with its row_key and group (NULL without words)."""
     sketch = stored(sketches(docs), "sketches")
     classes = stored(classes_of(sketch), "classes")
     members = stored(bucket_members(classes), "members")
@@ -261,21 +268,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = classes.select("cnum", "set_key", "first_doc").join(final.withColumnRenamed("node", "cnum"), "cnum", "left")
     labels = stored(labels.withColumn("component", F.coalesce("component", "cnum")), "labels")
     least = stored(labels.groupBy("component").agg(F.min("first_doc").alias("component_id")), "least")
-    named = stored(labels.join(least, "component").select("set_key", "component_id"), "named")
+    named = stored(labels.join(least, "component").select("set_key", "component_id", F.col("component").alias("group")), "named")
     return sketch.join(named, "set_key", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+        "row_key",
+        "group",
+    ).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "row_key", "group"
+    )
 
 
 def one_per_group(docs: DataFrame, result: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``result`` keeps, all columns, a repeated row once; rows without an id stay.
+    """One row of every group in ``result``, all columns of ``docs``; texts without words all stay, a repeated row once.
 
-    An id names one document: where it stands for several texts, they go together.
+    The row with the smallest id stays, of a group without ids any text of it. Rows are named by id and text, so a
+    text that shares its id with another one stands for itself.
     """
-    row = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
-    dropped = result.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    once = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("text_hash"))
-    kept = row.filter("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti").withColumn("copy", once).filter("copy = 1")
-    return kept.select("row.*").unionByName(row.filter("doc_id IS NULL").select("row.*"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")
+    winners = result.filter("group IS NOT NULL").groupBy("group").agg(first).select("first.row_key")
+    wordless = result.filter("group IS NULL").select("row_key").distinct()
+    rows = docs.select(row_key().alias("row_key"), F.struct("*").alias("row"))
+    kept = rows.join(stored(winners.unionByName(wordless), "kept"), "row_key").groupBy("row_key").agg(F.first("row").alias("row"))
+    return kept.select("row.*")

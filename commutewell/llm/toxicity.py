@@ -40,7 +40,6 @@ DEPTH = 5  # entries after which a toxic text counts as covered
 MIN_NEW = 3  # texts not yet covered that a further entry must occur in
 CLEAN_COST = 3  # what a share of the clean texts costs against the same share of toxic ones
 PREFIXES = range(4, 9)
-ENTRIES = 400  # entries at most; greedy cover stops much earlier
 CONTEXTS = 2  # harmless texts that make an exception
 
 # Letters that look like Latin ones, by the Latin letter; i and l share one class with the digit 1.
@@ -184,7 +183,7 @@ def chosen(candidates: dict[str, tuple[int, int]], cover: list[set[str]], sizes:
             texts.setdefault(term, set()).add(n)
     gain = lambda t: len(texts[t]) / sizes[1] - CLEAN_COST * candidates[t][0] / sizes[0]
     out: dict[str, float] = {}
-    while len(out) < ENTRIES and texts:
+    while texts:
         term = max(texts, key=lambda t: (gain(t), len(t), t))
         if len(texts[term]) < MIN_NEW or gain(term) <= 0:
             break
@@ -289,7 +288,7 @@ def scores(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id, score and predicted of every row; only the text is looked at."""
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("score double, predicted int")])
     parts = (lexicon.weights, lexicon.exceptions, lexicon.slope, lexicon.shift)
-    shared = docs.sparkSession.sparkContext.broadcast(parts)  # bounded by ENTRIES and the sample
+    shared = docs.sparkSession.sparkContext.broadcast(parts)  # bounded by the sample: every entry covers MIN_NEW new texts of it
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Lexicon(*shared.value).score

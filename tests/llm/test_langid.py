@@ -66,3 +66,20 @@ def test_nothing_to_learn_from_and_empty_table(odd, documents):
     docs = documents([(1, "some text", None, None, None)])
     assert [tuple(r)[2:] for r in langid.identify(docs).collect()] == [("und", 0.0)]
     assert langid.identify(odd.limit(0)).count() == 0
+
+
+def test_acceptance_needs_the_model(documents):
+    """Wanted languages and a least score decide; where nothing could be learned all rows stay."""
+    import random
+
+    from llm_words import prose
+
+    rng = random.Random(4)
+    rows = [(i, prose(rng, lang, 40), lang, None, 0) for i, lang in enumerate(["en", "de", "fr"] * 40)] + [(200, "123", None, None, 0)]
+    docs = documents(rows)
+    model = langid.train(docs)
+    assert langid.accepted(docs, model).count() == 120
+    assert {r.lang for r in langid.accepted(docs, model, ["en", "fr"]).collect()} == {"en", "fr"}
+    assert langid.accepted(docs, model, least=1.1).count() == 0
+    unlabelled = documents([(i, t, None, s, n) for i, t, _, s, n in rows])
+    assert langid.accepted(unlabelled, langid.train(unlabelled)).count() == 121

@@ -107,3 +107,27 @@ def test_universal_minima_estimate_similarity():
     x, y = neardup.shingles(" ".join(a)), neardup.shingles(" ".join(b))
     true = len(set(x) & set(y)) / len(set(x) | set(y))
     assert abs((neardup.minima(x) == neardup.minima(y)).mean() - true) < 0.15
+
+
+def near_copies(n_words, *changes):
+    """A text and versions of it with the given words changed."""
+    words = [f"w{i}" for i in range(n_words)]
+    return [" ".join(f"x{i}" if i in change else w for i, w in enumerate(words)) for change in ((), *changes)]
+
+
+@pytest.mark.parametrize("middle", [3, None])
+def test_links_through_a_text_without_an_id(documents, middle):
+    """The first and the last text are linked through the middle one only, which may have no id."""
+    a, b, c = near_copies(120, {20, 60}, {20, 60, 90, 110})
+    got = neardup.near_duplicates(documents([(1, a, None, None, 0), (middle, b, None, None, 0), (2, c, None, None, 0)])).collect()
+    assert {r.component_id for r in got} == {1}
+
+
+def test_one_row_of_each_group_whatever_its_id(documents):
+    a, b = near_copies(60, {30})
+    other, third = "quite another text of some more words than five", "a third one that has no copy at all here"
+    rows = [(1, a), (2, b), (2, other), (None, a), (None, third), (None, third), (5, None), (5, None), (None, "")]
+    docs = documents([(i, t, None, None, 0) for i, t in rows])
+    kept = neardup.one_per_group(docs, neardup.near_duplicates(docs))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, a), (2, other), (None, third), (5, None), (None, "")], key=repr)

@@ -17,7 +17,7 @@ OPS = [n for n in entry.queries() if re.match(r"op\d+_", n)]
 
 
 def test_one_query_per_operator():
-    assert [int(n[2:].split("_")[0]) for n in OPS] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in OPS] == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
