@@ -26,6 +26,8 @@ BITS = 4
 WORDS = 5
 ATTEMPTS = 4
 BUCKET_ROWS = 512
+RANGES = 4096  # quantiles of the ids, at most
+_GROUP = 64
 _SHIFT = 64 - BINS.bit_length() + 1
 _SPACE = " \t\n\x0b\f\r"
 
@@ -103,30 +105,75 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
+def _buckets(docs: DataFrame, bucket_rows: int) -> Callable[[Column, Column], tuple[Column, Column]]:
+    """The bucket (range, part) of an id and a text.
+
+    Ranges hold about equally many rows, whatever the ids: their ends are quantiles of the ids, at most RANGES of
+    them. In a large table a range has several parts of equal widths. Rows without an id are dealt by their text.
+    """
+    n = docs.count()
+    ranges = max(1, min(RANGES, -(-n // bucket_rows)))
+    parts = max(1, -(-n // (bucket_rows * ranges)))
+    shares = [i / ranges for i in range(1, ranges)]
+    ends = docs.agg(
+        F.min("doc_id").cast("long").alias("low"), F.max("doc_id").cast("long").alias("high"),
+        F.percentile_approx(F.col("doc_id").cast("long"), [0.0, *shares], 10 * RANGES).alias("ends"),
+    ).first()
+    ends = [] if ends.low is None else [ends.low, *sorted(set(ends.ends[1:]) - {ends.low}), ends.high + 1]
+    groups = [ends[i : i + _GROUP] for i in range(0, len(ends), _GROUP)]
+    longs = lambda values: F.array(*map(F.lit, values)).cast("array<long>")
+
+    def bucket(doc_id: Column, text: Column) -> tuple[Column, Column]:
+        by_text = lambda seed, n: F.pmod(F.xxhash64(text, F.lit(seed)), F.lit(n))
+        if not groups:
+            return -1 - by_text(0, ranges), by_text(1, parts)
+        # Among the firsts of the groups, then within one group: the last end at or below the id.
+        up_to = lambda values: F.size(F.filter(values, lambda e: e <= doc_id))
+        group = up_to(longs([g[0] for g in groups])) - 1
+        place = group * _GROUP + up_to(F.get(F.array(*map(longs, groups)), group)) - 1
+        if parts == 1:
+            part = F.lit(0)
+        else:
+            low, high = F.get(longs(ends), place), F.get(longs(ends), place + 1)
+            part = F.floor((doc_id - low) / F.greatest(F.lit(1), F.ceil((high - low) / parts)))
+        return F.coalesce(place, -1 - by_text(0, ranges)).cast("long"), F.when(doc_id.isNull(), by_text(1, parts)).otherwise(part).cast("long")
+
+    return bucket
+
+
 def in_order(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, text, bits and the next row's text and bits (next_text, next_bits).
 
-    Rows are dealt to buckets of equal id ranges, about ``bucket_rows`` each, in one shuffle. Within a bucket
+    Rows are dealt to buckets of about ``bucket_rows`` ids that follow one another, in one shuffle. Within a bucket
     the next row is a window function away; a bucket's last row gets the first row of the next bucket, one row
-    per bucket through a small shuffle. Only the list of buckets is sorted in one place.
+    per bucket through a small shuffle. The buckets are put in order range by range; only the at most 2 * RANGES
+    ranges are sorted in one place.
     """
-    ends = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).first()
-    buckets = max(1, -(-ends.n // bucket_rows))
-    width = 1 if ends.a is None else max(1, -(-(ends.b - ends.a + 1) // buckets))
+    dealt = _buckets(docs, bucket_rows)
     text = F.coalesce(F.col("text"), F.lit(""))
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(ends.a)) / width).cast("long"), -1 - F.pmod(F.xxhash64(text), F.lit(buckets)))
-    rows = docs.select("doc_id", text.alias("text"), bucket.alias("bucket"))
-    here = Window.partitionBy("bucket").orderBy("doc_id", "text")
-    firsts = rows.withColumn("nr", F.row_number().over(here)).filter("nr = 1").select("bucket", F.col("text").alias("first_text"))
-    order = docs.select(bucket.alias("bucket")).distinct()
-    everywhere = Window.orderBy("bucket")
-    before = F.coalesce(F.lag("bucket").over(everywhere), F.last("bucket").over(everywhere.rowsBetween(0, Window.unboundedFollowing)))
-    firsts = firsts.join(order.select("bucket", before.alias("before")), "bucket").select(
-        F.col("before").alias("bucket"), "first_text", fingerprint(F.col("first_text")).alias("first_bits")
+    range_, part = dealt(F.col("doc_id"), text)
+    rows = docs.select("doc_id", text.alias("text"), range_.alias("range"), part.alias("part"))
+    here = Window.partitionBy("range", "part").orderBy("doc_id", "text")
+    firsts = rows.withColumn("nr", F.row_number().over(here)).filter("nr = 1").select("range", "part", F.col("text").alias("first_text"))
+
+    buckets = docs.select(range_.alias("range"), part.alias("part")).distinct()
+    in_range = F.lag("part").over(Window.partitionBy("range").orderBy("part"))
+    lasts = buckets.groupBy("range").agg(F.max("part").alias("last"))
+    everywhere = Window.orderBy("range")
+    whole = everywhere.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    kept = F.struct(F.col("range").alias("r"), F.col("last").alias("p"))
+    lasts = lasts.select("range", F.coalesce(F.lag(kept).over(everywhere), F.last(kept).over(whole)).alias("earlier"))
+    before = buckets.withColumn("earlier_part", in_range).join(lasts, "range").select(
+        "range", "part",
+        F.when(F.col("earlier_part").isNull(), F.col("earlier.r")).otherwise(F.col("range")).alias("r"),
+        F.coalesce("earlier_part", "earlier.p").alias("p"),
+    )
+    firsts = firsts.join(before, ["range", "part"]).select(
+        F.col("r").alias("range"), F.col("p").alias("part"), "first_text", fingerprint(F.col("first_text")).alias("first_bits")
     )
     led = rows.withColumn("bits", fingerprint(F.col("text")))
     led = led.withColumn("next_text", F.lead("text").over(here)).withColumn("next_bits", F.lead("bits").over(here))
-    return led.join(firsts, "bucket").select(
+    return led.join(firsts, ["range", "part"]).select(
         "doc_id", "text", "bits",
         F.coalesce("next_text", "first_text").alias("next_text"), F.coalesce("next_bits", "first_bits").alias("next_bits"),
     )

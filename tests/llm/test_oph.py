@@ -45,6 +45,28 @@ def test_bucket_borders(documents):
         assert got[i] == (text, rows[(n + 1) % len(rows)][1])
 
 
+def test_buckets_are_even_whatever_the_ids(documents, monkeypatch):
+    """One far id, and more rows than ranges: about equal buckets, the order as it is."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(oph, "RANGES", 8)
+    rows = [(i, f"text {i}", None, None, None) for i in range(1999)] + [(10**15, "far", None, None, None)]
+    docs = documents(rows)
+    a, b = oph._buckets(docs, 32)(F.col("doc_id"), F.col("text"))
+    sizes = [r["count"] for r in docs.groupBy(a.alias("a"), b.alias("b")).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 300  # the far id widens its own range of 250 rows only
+    assert sorted(sizes)[len(sizes) // 2] <= 2 * 32
+    got = {r.doc_id: r.next_text for r in oph.in_order(docs, bucket_rows=32).collect()}
+    assert got == {rows[n][0]: rows[(n + 1) % 2000][1] for n in range(2000)}
+
+
+def test_rows_without_ids_follow_one_another(documents):
+    """All rows have one next row, each is next once, with and without any id."""
+    for rows in ([(None, f"t{i}", None, None, None) for i in range(60)], [(i if i % 3 else None, f"t{i}", None, None, None) for i in range(60)]):
+        got = oph.in_order(documents(rows), bucket_rows=8).collect()
+        assert sorted(r.text for r in got) == sorted(r.next_text for r in got) == sorted(r[1] for r in rows)
+
+
 def test_densification_leaves_no_bin_empty(spark):
     from pyspark.sql import functions as F
 
