@@ -4,10 +4,12 @@ A text's words are looked up in per-language log frequencies. A word that no lan
 longest character n-grams that are known, n falling from ``GRAM`` to 1. Scores are weighted by the word's
 count in the whole text; the best language wins.
 
-The model is learned from a hash sample of the labelled rows, about ``TRAIN_DOCS`` per language, whole texts.
+The model is learned from a hash sample of the labelled rows, about ``TRAIN_DOCS`` per language and ``TRAIN_ROWS``
+in all, whole texts. No language is left out for its rank: with more of them each has fewer rows.
 Of what occurs more than once, it keeps per language the ``WORDS`` most frequent words and the ``GRAMS`` most
 frequent n-grams of each length.
-These parameters bound what the driver collects and broadcasts, whatever the size of the corpus.
+These parameters bound what the driver collects and broadcasts, whatever the size of the corpus. An entry holds only
+the languages that know it, so the model grows with what the languages know, not with their square.
 
 Defined results: a NULL text, or one without a letter, is ``und`` with score 0; so is every text when nothing
 can be learned. Equal scores go to the first language by name. NULL languages teach nothing. Only ``doc_id``,
@@ -29,8 +31,8 @@ from pyspark.sql import types as T
 from commutewell.llm.common import stored
 
 UNKNOWN = "und"
-LANGUAGES = 500  # languages of a model, the most frequent ones
 TRAIN_DOCS = 1500
+TRAIN_ROWS = 200_000
 WORDS = 20_000
 GRAMS = 4_000
 GRAM = 4
@@ -55,15 +57,16 @@ def grams_of(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)] if n > 1 else list(word)
 
 
-def training_rows(docs: DataFrame, per_language: int = TRAIN_DOCS) -> DataFrame:
-    """(lang, text) of about ``per_language`` rows of each language, chosen by the id's hash.
+def training_rows(docs: DataFrame, per_language: int = TRAIN_DOCS, in_all: int = TRAIN_ROWS) -> DataFrame:
+    """(lang, text) of about ``per_language`` rows of each language, ``in_all`` at most, chosen by the id's hash.
 
-    The shares, one line for each of at most LANGUAGES languages, are broadcast: no text is shuffled.
+    The sizes, one line a language, are joined by Spark's measured size; only drawn texts could be shuffled for it.
     """
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    share = F.broadcast(sizes.select("lang", (F.lit(per_language) / F.col("n")).alias("share")))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    fair = per_language if (languages := sizes.count()) * per_language <= in_all else in_all / languages
     draw = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1_000_000)) / 1_000_000
+    share = sizes.select("lang", (F.lit(fair) / F.col("n")).alias("share"))
     return labelled.select("lang", "text", draw.alias("draw")).join(share, "lang").filter("draw < share").select("lang", "text")
 
 
@@ -89,7 +92,10 @@ def counted(rows: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Languages, and per word or n-gram its log frequency in each of them."""
+    """Languages, and per word or n-gram the languages that know it with their log frequency above the floor.
+
+    ``floor`` is each language's log frequency of what it does not know, by length.
+    """
 
     def __init__(self, rows, totals):
         self.languages = sorted({lang for lang, _ in totals})
@@ -97,24 +103,27 @@ class Model:
         self.floor = {
             n: [math.log(0.5 / (1 + totals.get((lang, n), 0))) for lang in self.languages] for n in range(GRAM + 1)
         }
-        self.tables: list[dict[str, list[float]]] = [{} for _ in range(GRAM + 1)]
+        self.tables: list[dict[str, list[tuple[int, float]]]] = [{} for _ in range(GRAM + 1)]
         for lang, n, item, k in rows:
-            entry = self.tables[n].setdefault(item, list(self.floor[n]))
-            entry[at[lang]] = math.log(k / totals[lang, n])
-        self.cache: dict[str, list[float] | None] = {}
+            gain = math.log(k / totals[lang, n]) - self.floor[n][at[lang]]
+            self.tables[n].setdefault(item, []).append((at[lang], gain))
+        self.cache: dict[str, tuple[int, list[tuple[int, float]]] | None] = {}
 
-    def unseen(self, word: str) -> list[float] | None:
-        """The mean over the longest n-grams known; None if not one character is known."""
+    def unseen(self, word: str) -> tuple[int, list[tuple[int, float]]] | None:
+        """The length of the longest n-grams known and their mean gains; None if not one character is known."""
         for n in range(GRAM, 0, -1):
             known = [e for gram in grams_of(word, n) if (e := self.tables[n].get(gram))]
             if known:
-                cost = BACKOFF * (GRAM - n + 1)
-                return [cost + sum(column) / len(known) for column in zip(*known)]
+                gains: dict[int, float] = {}
+                for entry in known:
+                    for i, gain in entry:
+                        gains[i] = gains.get(i, 0.0) + gain / len(known)
+                return n, sorted(gains.items())
         return None
 
-    def entry(self, word: str) -> list[float] | None:
+    def entry(self, word: str) -> tuple[int, list[tuple[int, float]]] | None:
         if (known := self.tables[0].get(word)) is not None:
-            return known
+            return 0, known
         if word not in self.cache:
             if len(self.cache) >= CACHE:
                 self.cache.clear()
@@ -125,13 +134,16 @@ class Model:
         words = words_of(text)
         if not words or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        sums, n = [0.0] * len(self.languages), 0
+        gains, by_length = [0.0] * len(self.languages), [0] * (GRAM + 1)
         for word, k in words.items():
             if (entry := self.entry(word)) is not None:
-                n += k
-                for i, x in enumerate(entry):
-                    sums[i] += k * x
-        best = max(range(len(sums)), key=lambda i: (sums[i], -i))
+                by_length[entry[0]] += k
+                for i, gain in entry[1]:
+                    gains[i] += k * gain
+        # The cost of backing off is the same for all languages.
+        cost = BACKOFF * sum(k * (GRAM - n + 1) for n, k in enumerate(by_length) if n)
+        sums = [g + cost + sum(k * self.floor[n][i] for n, k in enumerate(by_length) if k) for i, g in enumerate(gains)]
+        best, n = max(range(len(sums)), key=lambda i: (sums[i], -i)), sum(by_length)
         scale = min(n, SHARPNESS) / max(n, 1)
         return self.languages[best], 1 / sum(math.exp(max(-700.0, (x - sums[best]) * scale)) for x in sums)
 

@@ -3,6 +3,8 @@
 import random
 import zlib
 
+import pytest
+
 from llm_fixtures import documents, odd  # noqa: F401
 from llm_words import prose
 
@@ -51,6 +53,36 @@ def test_unseen_words_back_off_to_shorter_grams():
     assert model.predict("hello bonjour")[0] == "en"  # a tie goes to the first by name
 
 
+def test_no_language_is_left_out(documents):
+    """Six hundred labels, each with its own words, are all predicted; a bound on all rows thins every language alike."""
+    rows = [(600 * j + i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)}q " * 4, f"l{i:03}", None, 0) for i in range(600) for j in range(3)]
+    docs = documents(rows)
+    model = langid.train(docs)
+    assert len(model.languages) == 600
+    assert max(len(e) for e in model.tables[0].values()) == 1  # entries hold the languages that know them, no others
+    got = {r.doc_id: r.lang_pred for r in langid.predictions(docs, model).collect()}
+    assert all(got[i] == lang for i, _, lang, *_ in rows)
+    assert langid.training_rows(docs, in_all=600).count() < 900
+
+
+def test_sparse_scores_equal_dense_ones():
+    """The score of a text against a plain sum over all languages and words."""
+    import math
+
+    rng = random.Random(3)
+    langs, items = ["a", "b", "c"], ["uno", "dos", "tres", "zwei"]
+    rows = [(lang, 0, w, rng.randint(2, 9)) for lang in langs for w in items if rng.random() < 0.7]
+    totals = {(lang, n): 50 for lang in langs for n in range(5)}
+    model, known = langid.Model(rows, totals), {(lang, w): k for lang, _, w, k in rows}
+    for _ in range(20):
+        words = [rng.choice(items) for _ in range(rng.randint(1, 12))]
+        words = [w for w in words if any((lang, w) in known for lang in langs)] or [rows[0][2]]
+        dense = {lang: sum(math.log(known[lang, w] / 50 if (lang, w) in known else 0.5 / 51) for w in words) for lang in langs}
+        top = max(dense.values())
+        got, score = model.predict(" ".join(words))
+        assert dense[got] == pytest.approx(top) and score == pytest.approx(1 / sum(math.exp(x - top) for x in dense.values()))
+
+
 def test_odd_rows(odd):
     got = langid.identify(odd).collect()
     assert len(got) == odd.count()
