@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Every source's rows are numbered in a fixed shuffled order and cut to blocks of ``BLOCK_ROWS``. Time runs in
-turns, one block each, and in frames of ``FRAME`` turns. Target weights are rounded to whole turns of a frame.
+turns, one block each, and in frames of ``FRAME`` turns. A source's turns in a frame are its target weight's share,
+rounded up or down; only sources whose share is below one turn get more than it, one turn, from all others in proportion.
 Block k of a source with q turns in a frame is released at turn floor(k * FRAME / q) and due before turn
 ceil((k + 1) * FRAME / q); in each turn the released block with the earliest deadline goes, ties to the first
 source by name. As the turns of all sources fill the frame exactly, no deadline is missed and no source is
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 16
-FRAME = 1000
+FRAME = 10_000
 CHUNK_ROWS = 512
 MOST_CHUNKS = 65_536
 TEMPERATURE = 0.5
@@ -44,15 +45,17 @@ def tempered(counts: dict[str, int], temperature: float = TEMPERATURE) -> dict[s
 
 
 def turns_of(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
-    """Whole turns of a frame by largest remainder, at least one each."""
+    """Whole turns of a frame by largest remainder; sources with a share below one turn get one."""
     if any(w <= 0 for w in weights.values()) or len(weights) > frame:
         raise ValueError("weights must be positive, and no more than the turns of a frame")
-    total, spare = sum(weights.values()), frame - len(weights)
-    exact = {k: w / total * spare for k, w in weights.items()}
-    turns = {k: 1 + int(x) for k, x in exact.items()}
-    for k in sorted(exact, key=lambda k: (int(exact[k]) - exact[k], k))[: frame - sum(turns.values())]:
-        turns[k] += 1
-    return turns
+    given = list(weights.values())
+    shared = [w for w in given if (frame - sum(o < w for o in given)) * w >= sum(o for o in given if o >= w)]
+    total, turns = sum(shared), frame - (len(given) - len(shared))
+    exact = {k: max(1.0, turns * w / total) if w in shared else 1.0 for k, w in weights.items()}
+    out = {k: int(x) for k, x in exact.items()}
+    for k in sorted(exact, key=lambda k: (int(exact[k]) - exact[k], k))[: frame - sum(out.values())]:
+        out[k] += 1
+    return out
 
 
 def phases_of(blocks: dict[str, int], weights: dict[str, float], frame: int = FRAME) -> list[dict]:

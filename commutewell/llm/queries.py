@@ -145,38 +145,44 @@ WITH RECURSIVE
   g AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % greatest(1, (SELECT count(*) FROM d) // 512) AS chunk FROM d),
   r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY chunk, h, doc_id) - 1 AS nr FROM g),
   c AS (SELECT key AS k, sqrt(count(*)) AS w, (count(*) + 15) // 16 AS n FROM d GROUP BY key),
-  -- Phases: whole turns of 1,000 by largest remainder, at least one each, for the sources that have blocks left.
+  -- Phases: whole turns of 10,000 by largest remainder, one where the share is less, for the sources that have blocks left.
   p AS (SELECT CAST(0 AS BIGINT) AS turn, list({'k': k, 'w': w, 'n': n, 'done': CAST(0 AS BIGINT)} ORDER BY k) AS st FROM c
         UNION ALL
-        SELECT turn + frames * 1000, list_filter(list_transform(range(1, len(st) + 1), lambda i: {'k': st[i].k, 'w': st[i].w,
+        SELECT turn + frames * 10000, list_filter(list_transform(range(1, len(st) + 1), lambda i: {'k': st[i].k, 'w': st[i].w,
                  'n': st[i].n - least(st[i].n, frames * q[i]), 'done': st[i].done + least(st[i].n, frames * q[i])}), lambda s: s.n > 0)
         FROM (SELECT *, 1 + list_min(list_transform(range(1, len(st) + 1), lambda i: st[i].n // q[i])) AS frames FROM
-          (SELECT *, list_transform(range(1, len(st) + 1), lambda i: CAST(1 + floor(x[i]) AS BIGINT) + CASE WHEN
+          (SELECT *, list_transform(range(1, len(st) + 1), lambda i: CAST(floor(x[i]) AS BIGINT) + CASE WHEN
                    len(list_filter(range(1, len(st) + 1), lambda j: x[j] - floor(x[j]) > x[i] - floor(x[i])
                      OR (x[j] - floor(x[j]) = x[i] - floor(x[i]) AND j < i)))
-                   < 1000 - list_sum(list_transform(x, lambda y: 1 + floor(y))) THEN 1 ELSE 0 END) AS q FROM
-            (SELECT turn, st, list_transform(st, lambda s: s.w / list_sum(list_transform(st, lambda o: o.w)) * (1000 - len(st))) AS x FROM p)))
+                   < 10000 - list_sum(list_transform(x, lambda y: floor(y))) THEN 1 ELSE 0 END) AS q FROM
+            (SELECT turn, st, list_transform(st, lambda s: CASE WHEN list_contains(big, s.w)
+              THEN greatest(1.0, (10000 - (len(st) - len(big))) * s.w / list_sum(big)) ELSE 1.0 END) AS x FROM
+              (SELECT turn, st, list_filter(list_transform(st, lambda s: s.w), lambda v: (10000 - len(list_filter(st, lambda o: o.w < v))) * v
+                 >= list_sum(list_transform(list_filter(st, lambda o: o.w >= v), lambda o: o.w))) AS big FROM p))))
         WHERE len(list_filter(range(1, len(st) + 1), lambda i: st[i].n > frames * q[i])) > 0),
-  q AS (SELECT turn, st, list_transform(range(1, len(st) + 1), lambda i: CAST(1 + floor(x[i]) AS BIGINT) + CASE WHEN
+  q AS (SELECT turn, st, list_transform(range(1, len(st) + 1), lambda i: CAST(floor(x[i]) AS BIGINT) + CASE WHEN
                len(list_filter(range(1, len(st) + 1), lambda j: x[j] - floor(x[j]) > x[i] - floor(x[i])
                  OR (x[j] - floor(x[j]) = x[i] - floor(x[i]) AND j < i)))
-               < 1000 - list_sum(list_transform(x, lambda y: 1 + floor(y))) THEN 1 ELSE 0 END) AS q FROM
-        (SELECT turn, st, list_transform(st, lambda s: s.w / list_sum(list_transform(st, lambda o: o.w)) * (1000 - len(st))) AS x FROM p)),
+               < 10000 - list_sum(list_transform(x, lambda y: floor(y))) THEN 1 ELSE 0 END) AS q FROM
+        (SELECT turn, st, list_transform(st, lambda s: CASE WHEN list_contains(big, s.w)
+              THEN greatest(1.0, (10000 - (len(st) - len(big))) * s.w / list_sum(big)) ELSE 1.0 END) AS x FROM
+              (SELECT turn, st, list_filter(list_transform(st, lambda s: s.w), lambda v: (10000 - len(list_filter(st, lambda o: o.w < v))) * v
+                 >= list_sum(list_transform(list_filter(st, lambda o: o.w >= v), lambda o: o.w))) AS big FROM p))),
   -- One frame of each phase: in every turn the released block with the earliest deadline.
   e AS (SELECT turn, q, list_transform(q, lambda y: CAST(0 AS BIGINT)) AS nxt, CAST(-1 AS BIGINT) AS t, CAST(NULL AS BIGINT) AS i, CAST(NULL AS BIGINT) AS k FROM q
         UNION ALL
         SELECT turn, q, list_transform(range(1, len(q) + 1), lambda j: nxt[j] + CASE WHEN j = b.i THEN 1 ELSE 0 END), t + 1, b.i, nxt[b.i]
-        FROM (SELECT *, list_sort(list_transform(list_filter(range(1, len(q) + 1), lambda j: nxt[j] < q[j] AND nxt[j] * 1000 // q[j] <= t + 1),
-                lambda j: {'due': ((nxt[j] + 1) * 1000 + q[j] - 1) // q[j], 'i': j}))[1] AS b FROM e WHERE t < 999)),
+        FROM (SELECT *, list_sort(list_transform(list_filter(range(1, len(q) + 1), lambda j: nxt[j] < q[j] AND nxt[j] * 10000 // q[j] <= t + 1),
+                lambda j: {'due': ((nxt[j] + 1) * 10000 + q[j] - 1) // q[j], 'i': j}))[1] AS b FROM e WHERE t < 9999)),
   s AS (SELECT turn, st[i].k AS key, CAST(st[i].done AS BIGINT) AS first, q[i] AS q FROM
         (SELECT turn, st, q, unnest(range(1, len(st) + 1)) AS i FROM q)),
   o AS (SELECT e.turn, q.st[e.i].k AS key, e.k, e.t AS slot FROM e JOIN q ON e.turn = q.turn WHERE e.t >= 0),
   b AS (SELECT r.*, nr // 16 AS block, nr % 16 AS place FROM r),
   a AS (SELECT b.*, s.turn AS start, s.first, s.q FROM b JOIN s ON b.key = s.key AND s.first <= block
         QUALIFY row_number() OVER (PARTITION BY b.key, b.nr ORDER BY s.first DESC) = 1),
-  f AS (SELECT *, start + (block - first) // q * 1000 AS base, (block - first) % q AS k FROM a)
-SELECT f.doc_id, f.source, CAST(block AS BIGINT) AS block, CAST(base + f.k * 1000 // f.q AS BIGINT) AS release,
-       CAST(base + ((f.k + 1) * 1000 + f.q - 1) // f.q AS BIGINT) AS deadline, CAST(base + o.slot AS BIGINT) AS turn, CAST(place AS INTEGER) AS place
+  f AS (SELECT *, start + (block - first) // q * 10000 AS base, (block - first) % q AS k FROM a)
+SELECT f.doc_id, f.source, CAST(block AS BIGINT) AS block, CAST(base + f.k * 10000 // f.q AS BIGINT) AS release,
+       CAST(base + ((f.k + 1) * 10000 + f.q - 1) // f.q AS BIGINT) AS deadline, CAST(base + o.slot AS BIGINT) AS turn, CAST(place AS INTEGER) AS place
 FROM f JOIN o ON f.start = o.turn AND f.key = o.key AND f.k = o.k"""
 
 

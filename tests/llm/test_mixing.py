@@ -33,7 +33,7 @@ def mixed(documents):
     rows = [(i, f"text {i}", "en", "big" if i % 3 else ("small" if i % 4 else None), 1) for i in range(1500)]
     rows += [(i, f"text {i}", "en", f"rare{i % 2}", 1) for i in range(1500, 1560)]
     docs = documents(rows)
-    got = mixing.mix(docs, {"big": 5.0, "small": 3.0}, default=1.0, block_rows=4, frame=50)
+    got = mixing.mix(docs, {"big": 5.0, "small": 3.0}, default=1.0, block_rows=4, frame=22)
     return rows, got.select("row.*", "block", "release", "deadline", "turn", "place").toDF(*[f"c{i}" for i in range(len(docs.columns) + 5)]).collect()
 
 
@@ -57,18 +57,34 @@ def test_blocks_go_within_their_windows_one_a_turn(mixed):
 
 
 def test_less_than_one_block_from_the_target(mixed):
-    """Until a source runs out, every prefix holds each source's share to less than a block."""
+    """Until a source runs out, every prefix holds each source's stated share to less than a block."""
     _, got = parts(mixed)
     order = {turn: source for _, source, _, _, _, turn, _ in got}
-    counts = Counter(r[1] for r in got)
-    turns = mixing.turns_of({("-" if k is None else f"={k}"): {"big": 5.0, "small": 3.0}.get(k, 1.0) for k in counts}, 50)
+    blocks = Counter(order.values())
+    weights = {k: {"big": 5, "small": 3}.get(k, 1) for k in blocks}
+    total = sum(weights.values())
+    until = min(22 * (blocks[k] * total // (22 * weights[k])) for k in blocks)
+    assert until >= 66 and set(range(until)) <= set(order)
     seen: Counter = Counter()
-    whole = min(-(-counts[k] // 4) // turns["-" if k is None else f"={k}"] for k in counts) * 50
-    assert whole >= 50
-    for t in range(whole):
+    for t in range(until):
         seen[order[t]] += 1
-        for k in counts:
-            assert abs(seen[k] - Fraction(turns["-" if k is None else f"={k}"] * (t + 1), 50)) < 1
+        assert all(abs(seen[k] - Fraction(weights[k] * (t + 1), total)) < 1 for k in blocks)
+
+
+@pytest.mark.parametrize("n", [2, 20, 200, 500, 1500])
+def test_turns_are_the_stated_weights(n):
+    """Half of the weight gets half of the turns, with any number of other sources; a share is rounded by less than a turn."""
+    turns = mixing.turns_of({"=a": float(n - 1), **{f"={i}": 1.0 for i in range(n - 1)}})
+    assert turns["=a"] == mixing.FRAME // 2 and sum(turns.values()) == mixing.FRAME
+    uneven = {f"={i}": (i + 1) ** 0.5 for i in range(n)}
+    turns, total = mixing.turns_of(uneven), sum(uneven.values())
+    assert all(abs(turns[k] - mixing.FRAME * w / total) < 1 for k, w in uneven.items() if mixing.FRAME * uneven["=0"] / total >= 1)
+    assert sum(turns.values()) == mixing.FRAME and min(turns.values()) >= 1
+
+
+def test_shares_below_one_turn_get_one():
+    turns = mixing.turns_of({"=a": 6.0, "=b": 4.0, "=c": 1e-9}, 101)
+    assert turns == {"=a": 60, "=b": 40, "=c": 1}
 
 
 def test_sources_share_the_turns_of_those_that_ran_out():
@@ -81,7 +97,7 @@ def test_weights_are_checked():
         mixing.turns_of({"=a": 0.0})
     with pytest.raises(ValueError):
         mixing.turns_of({f"={i}": 1.0 for i in range(11)}, 10)
-    assert sum(mixing.turns_of({"=a": 1, "=b": 1, "=c": 1}, 1000).values()) == 1000
+    assert mixing.turns_of({"=a": 1, "=b": 1, "=c": 1}, 1000) == {"=a": 334, "=b": 333, "=c": 333}
 
 
 def test_odd_rows_and_empty_table(odd):
