@@ -34,6 +34,7 @@ from commutewell.functions.text import congratulation
 from commutewell.functions.wire import decode, from_json_payload
 from commutewell.operators import facts, monitor, quality
 from commutewell.operators.dedup import distinct_of, latest_per_key
+from commutewell.operators.dispatch import json_layout, resolve
 from commutewell.operators.filters import matching_modes
 from commutewell.operators.lookup import geocode
 from commutewell.operators.merge import add, apply_changes, unprocessed, upsert
@@ -700,6 +701,30 @@ def q57_repeated_delivery(spark, sf_dir):
     return landed.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("n_events"))
 
 
+def mixed_messages(spark, sf_dir):
+    """``events`` as one topic of two layouts, an unknown one, broken payloads and messages without a header."""
+    events = table(spark, sf_dir, "events")
+    kind = F.pmod("event_id", F.lit(7))
+    first = F.to_json(F.struct("event_id", "user_id", "value", F.col("event_type").alias("kind")))
+    second = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id").cast("int").alias("user_id")))
+    text = F.when(kind <= 2, first).when(kind == 5, F.lit("{broken")).otherwise(second)
+    header = F.when(kind <= 2, "0000000007").when(kind == 6, "0000000009").otherwise("0000000008")
+    framed = F.concat(F.unhex(header), text.cast("binary"))
+    return events.select("event_id", F.when(kind == 0, F.lit(None)).when(kind == 1, F.unhex(F.lit("000102"))).otherwise(framed).alias("value"))
+
+
+def q58_mixed_schemas(spark, sf_dir):
+    """Messages of two layouts become one record, with a rename, a promotion and a default; the rest says why not."""
+    contract = T.StructType.fromDDL("event_key long not null, user_id long, amount double, kind string")
+    first = T.StructType.fromDDL("event_id long, user_id long, value double, kind string")
+    second = T.StructType.fromDDL("id long, user_id int")
+    layouts = {
+        7: json_layout(first, renames={"event_key": "event_id", "amount": "value"}),
+        8: json_layout(second, renames={"event_key": "id"}, defaults={"kind": "unknown"}),
+    }
+    return resolve(mixed_messages(spark, sf_dir), layouts, contract, keep=["event_id"]).drop("value")
+
+
 # --- Contract with the driver ---------------------------------------------------------------------
 
 
@@ -984,6 +1009,12 @@ SELECT id_salarie, annee_civile, moyen_de_deplacement, salaire AS salaire_brut_b
 FROM ({_HISTORY}) WHERE moyen_de_deplacement <> 'Transports en commun' AND month(o_orderdate) <= 6 GROUP BY 1,2,3,4"""
 _SQL["q56_stored_changes"] = _SQL["q23_apply_changes"]
 _SQL["q57_repeated_delivery"] = "SELECT user_id, event_type, count(*) AS n, count(*) AS n_events FROM events GROUP BY 1, 2"
+_SQL["q58_mixed_schemas"] = """
+SELECT event_id, CASE WHEN k IN (2, 3, 4) THEN event_id END AS event_key, CASE WHEN k IN (2, 3, 4) THEN user_id END AS user_id,
+       CASE WHEN k = 2 THEN value END AS amount, CASE k WHEN 2 THEN event_type WHEN 3 THEN 'unknown' WHEN 4 THEN 'unknown' END AS kind,
+       CAST(CASE k WHEN 2 THEN 7 WHEN 3 THEN 8 WHEN 4 THEN 8 WHEN 5 THEN 8 WHEN 6 THEN 9 END AS BIGINT) AS schema_id,
+       CASE k WHEN 0 THEN 'no message' WHEN 1 THEN 'no header' WHEN 5 THEN 'unreadable payload' WHEN 6 THEN 'unknown schema' END AS problem
+FROM (SELECT *, event_id % 7 AS k FROM events)"""
 # Every one of these loads ends with the eligibility of all activities.
 for _name in ("q45_live_accumulate", "q48_stream_then_live", "q52_injected_events", "q53_reset_keeps_streams"):
     _SQL[_name] = _SQL["q37_live_eligibility"]

@@ -1,0 +1,101 @@
+"""Messages of several schemas in one topic."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from commutewell.contract import ContractViolation
+from commutewell.operators.dispatch import Layout, json_layout, records, resolve, set_aside
+
+CONTRACT = T.StructType().add("id", "long", False).add("name", "string").add("km", "double").add("origin", "string")
+OLD = T.StructType().add("id", "integer").add("nom", "string")
+NEW = T.StructType().add("id", "long").add("name", "string").add("km", "float")
+LAYOUTS = {
+    7: json_layout(OLD, renames={"name": "nom"}, defaults={"km": 1.5, "origin": "old"}),
+    2**31 + 5: json_layout(NEW),
+}
+
+
+def framed(content, number):
+    text = content if isinstance(content, str) else json.dumps(content)
+    return bytearray(b"\x00" + number.to_bytes(4, "big") + text.encode())
+
+
+MESSAGES = [
+    framed({"id": 1, "nom": "é"}, 7),
+    framed({"id": 2, "name": "b", "km": 2.5}, 2**31 + 5),
+    framed({"id": 3, "nom": None}, 7),  # a written NULL
+    framed({"id": 4, "name": "d", "more": [1]}, 2**31 + 5),  # a field nobody knows
+    framed({"id": 5}, 9),
+    framed("{broken", 7),
+    framed("", 7),
+    framed({"id": "six"}, 7),
+    framed({"nom": "no id"}, 7),
+    bytearray(b"\x00\x00\x00"),
+    bytearray(b"\x01" + framed({"id": 7, "nom": "x"}, 7)[1:]),
+    bytearray(),
+    None,
+]
+GOOD = [(0, 1, "é", 1.5, "old"), (1, 2, "b", 2.5, None), (2, 3, None, 1.5, "old"), (3, 4, "d", None, None)]
+BAD = {
+    4: (9, "unknown schema"), 5: (7, "unreadable payload"), 6: (7, "unreadable payload"), 7: (7, "unreadable payload"),
+    8: (7, "required field missing"), 9: (None, "no header"), 10: (None, "no header"), 11: (None, "no header"), 12: (None, "no message"),
+}
+
+
+@pytest.fixture
+def topic(spark):
+    return spark.createDataFrame(list(enumerate(MESSAGES)), "n int, value binary")
+
+
+def test_two_layouts_give_one_table_and_the_rest_is_set_aside(topic):
+    resolved = resolve(topic, LAYOUTS, CONTRACT, keep=["n"])
+    assert sorted(tuple(r) for r in records(resolved, CONTRACT, ["n"]).collect()) == GOOD
+    aside = set_aside(resolved, ["n"]).collect()
+    assert {r.n: (r.schema_id, r.problem) for r in aside} == BAD
+    assert all(r.value == (MESSAGES[r.n] if MESSAGES[r.n] is None else bytes(MESSAGES[r.n])) for r in aside)
+
+
+def test_what_was_set_aside_is_read_once_its_schema_is_known(topic):
+    aside = set_aside(resolve(topic, LAYOUTS, CONTRACT, keep=["n"]), ["n"]).drop("schema_id", "problem")
+    later = resolve(aside, LAYOUTS | {9: json_layout(OLD, renames={"name": "nom"})}, CONTRACT, keep=["n"])
+    assert [tuple(r) for r in records(later, CONTRACT, ["n"]).collect()] == [(4, 5, None, None, None)]
+
+
+def test_no_layout_and_no_message(topic):
+    assert {r.problem for r in resolve(topic, {}, CONTRACT).collect()} == {"unknown schema", "no header", "no message"}
+    assert resolve(topic.limit(0), LAYOUTS, CONTRACT).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("record", "more", "fault"),
+    [
+        ("id string", {}, "id: string does not widen to bigint"),
+        ("name string", {}, "id is required"),
+        ("id long", {"renames": {"name": "nom"}}, "nom was not written"),
+        ("id long", {"defaults": {"town": "x"}}, "town is not in the contract"),
+        ("id long, km string", {}, "km: string does not widen to double"),
+    ],
+)
+def test_layouts_that_cannot_fill_the_contract(topic, record, more, fault):
+    layout = Layout(T.StructType.fromDDL(record), lambda content: content, **more)
+    with pytest.raises(ContractViolation, match=fault):
+        resolve(topic, {7: layout}, CONTRACT)
+
+
+def test_one_narrow_pass(topic):
+    plan = resolve(topic, LAYOUTS, CONTRACT)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Union" not in plan
+    assert plan.count("from_json") == len(LAYOUTS)  # parsed once, not once for every field
+
+
+def test_an_unbounded_topic(spark, tmp_path, topic):
+    topic.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(topic.schema).parquet(f"{tmp_path}/in")
+    resolved = resolve(stream, LAYOUTS, CONTRACT, keep=["n"])
+    query = resolved.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start(f"{tmp_path}/out")
+    query.awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.where(F.col("problem").isNull()).count() == len(GOOD) and out.count() == len(MESSAGES)
