@@ -725,6 +725,25 @@ def q58_mixed_schemas(spark, sf_dir):
     return resolve(mixed_messages(spark, sf_dir), layouts, contract, keep=["event_id"]).drop("value")
 
 
+def q59_observed_history(spark, sf_dir):
+    """What the run that wrote the history zone counted, beside the zone's own rows."""
+    lake = fresh_lake(spark, "observed")
+    seen = landing.land_history_observed(lake, messages(spoiled_activities(spark, sf_dir)), from_json_payload(ACTIVITY))
+    zone = read_parquet(spark, lake.history, ACTIVITY).agg(F.count("*").alias("n"))
+    return zone.select("n", *[F.lit(count).cast("bigint").alias(name) for name, count in seen.items()])
+
+
+def q60_observed_stream(spark, sf_dir):
+    """What three micro-batches landed, each counted while it was written."""
+    lake = fresh_lake(spark, "observed_live")
+    topic = messages(spoiled_activities(spark, sf_dir))
+    parts = topic.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)).cast("int"))
+    _in_parts(parts, f"{lake.root}/topic", F.col("part"), 3, lambda s: landing.land_live(lake, s, from_json_payload(ACTIVITY), bounded=True))
+    counts = landing.live_counts(lake)
+    names = [c for c in counts.columns if c != "batch"]
+    return counts.agg(F.count("*").alias("batches"), *[F.sum(c).alias(c) for c in names])
+
+
 # --- Contract with the driver ---------------------------------------------------------------------
 
 
@@ -1015,6 +1034,10 @@ SELECT event_id, CASE WHEN k IN (2, 3, 4) THEN event_id END AS event_key, CASE W
        CAST(CASE k WHEN 2 THEN 7 WHEN 3 THEN 8 WHEN 4 THEN 8 WHEN 5 THEN 8 WHEN 6 THEN 9 END AS BIGINT) AS schema_id,
        CASE k WHEN 0 THEN 'no message' WHEN 1 THEN 'no header' WHEN 5 THEN 'unreadable payload' WHEN 6 THEN 'unknown schema' END AS problem
 FROM (SELECT *, event_id % 7 AS k FROM events)"""
+_SEEN = """count(*) AS landed, count(*) FILTER (o_custkey % 10 IN (3, 4, 5)) AS undated,
+       count(*) FILTER (o_custkey % 10 = 5) AS no_employee, CAST(0 AS BIGINT) AS rejected"""
+_SQL["q59_observed_history"] = f"SELECT count(*) AS n, {_SEEN} FROM orders"
+_SQL["q60_observed_stream"] = f"SELECT CAST(3 AS BIGINT) AS batches, {_SEEN} FROM orders"
 # Every one of these loads ends with the eligibility of all activities.
 for _name in ("q45_live_accumulate", "q48_stream_then_live", "q52_injected_events", "q53_reset_keeps_streams"):
     _SQL[_name] = _SQL["q37_live_eligibility"]

@@ -94,6 +94,18 @@ def undated(activities: DataFrame) -> DataFrame:
     )
 
 
+def landing_measures(activities: DataFrame) -> dict[str, Column]:
+    """Aggregates by name that a landing can observe: all rows, those that no fact will count, distances out of bounds."""
+    no_employee = F.col("id_salarie").isNull()
+    far = outside(DISTANCE_BOUNDS.column, DISTANCE_BOUNDS.low, DISTANCE_BOUNDS.high)
+    return {
+        "landed": F.count("*"),
+        "undated": F.count_if(year_of(activities, "date_activite").isNull() | no_employee),
+        "no_employee": F.count_if(no_employee),
+        "rejected": F.count_if(far),
+    }
+
+
 def quarantine(*parts: DataFrame) -> DataFrame:
     """All rejects, each kept as often as it was found."""
     return reduce(DataFrame.unionByName, parts)

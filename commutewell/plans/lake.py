@@ -52,6 +52,7 @@ class Lake:
         self.checkpoints = f"{self.root}/checkpoints"
         self.messages = f"{self.root}/messages"
         self.undated = f"{self.root}/undated"
+        self.unread = f"{self.root}/unread"
         self.ledger = f"{self.root}/ledger"
         self.bonus = SnapshotTable(spark, f"{self.root}/gold/fct_primes_transport", BONUS_TABLE)
         self.eligibility = SnapshotTable(spark, f"{self.root}/gold/fct_bien_etre_eligibilite", ELIGIBILITY_TABLE)

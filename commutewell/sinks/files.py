@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from commutewell.sources.storage import Storage
 
@@ -22,6 +23,24 @@ def overwrite(df: DataFrame, path: str, files: int | None = None) -> int:
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
+def overwrite_observed(df: DataFrame, path: str, measures: Mapping[str, Column], files: int | None = None) -> dict[str, int]:
+    """Replace the zone at ``path`` by ``df`` and return the ``measures`` of its rows, taken by the run that writes them.
+
+    Nothing is read again. The measures are collected in the tasks that write, each partition's once, whatever was
+    retried before them. Measures over no rows are 0.
+    """
+    out = df if files is None else df.coalesce(files)
+    return write_observed(out, measures, lambda seen: seen.write.mode("overwrite").parquet(path))
+
+
+def write_observed(df: DataFrame, measures: Mapping[str, Column], write) -> dict[str, int]:
+    """Call ``write`` with ``df`` and return the ``measures`` of the rows that it wrote, once."""
+    observation = Observation()
+    write(df.observe(observation, *[measure.alias(name) for name, measure in measures.items()]))
+    seen = observation.get
+    return {name: seen.get(name) or 0 for name in measures}
+
+
 def drop_batch(df: DataFrame, zone: str, name: str | None = None, files: int | None = None) -> str:
     """Write ``df`` as the new directory ``zone/<name>.parquet`` and return its path.
 
