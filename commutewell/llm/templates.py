@@ -62,15 +62,27 @@ MARKS = set(
 )
 
 
+# Words that say where a marked box is or how it looks; beside any other word a mark may be the article's own subject
+# (share-prices, related-work), as two of the marks always may.
+LAYOUT = set(
+    "area article aside bar block blocks body bottom box boxes button buttons card cards column container content entry feed "
+    "form global group heading icon icons inline inner item items left link links list lists main message meta news off "
+    "page panel placeholder post posts primary right secondary section site slot social stories story tags text thread title "
+    "top unit view wrap wrapper".split()
+)
+UNSURE = {"alert", "reply"}
+
+
 # Words that only say what a layout has: has-sidebar, with-comments, comments-open.
 _MODIFIER = re.compile(r"^(?:has|with|without|no)[-_]|[-_](?:open|opened|closed|enabled|disabled)$", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "dropped", "marked", "hash", "prose")
+    __slots__ = ("tag", "parent", "children", "dropped", "marked", "unsure", "hash", "prose")
 
-    def __init__(self, tag, parent, dropped=False, marked=0):
-        self.tag, self.parent, self.children, self.dropped, self.marked = tag, parent, [], dropped, marked
+    def __init__(self, tag, parent, dropped=False, marked=(0, False)):
+        self.tag, self.parent, self.children, self.dropped = tag, parent, [], dropped
+        self.marked, self.unsure = marked
         self.hash, self.prose = None, (0, 0, 0, 0)
 
 
@@ -85,18 +97,52 @@ def _hidden(attributes: str) -> bool:
     return False
 
 
-def _marked(tag: str, attributes: str) -> int:
-    """0 without a mark; 1 if there are other words beside it, as on a layout's wrapper; 2 if there are only marks."""
+def _marked(tag: str, attributes: str) -> tuple[int, bool]:
+    """0 without a mark; 1 if there are other words beside it, as on a layout's wrapper; 2 if there are only marks.
+
+    Then whether every mark may be part of an article's subject.
+    """
     if tag in ("html", "body", "main", "article"):
-        return 0
-    marks = others = 0
+        return 0, False
+    marks = others = sure = 0
     for name, value in _ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id", "role"):
             for token in value.strip("\"'").split():
                 if not _MODIFIER.search(token):
-                    found = any(word.lower() in MARKS for word in _NAME.findall(token))
+                    words = {word.lower() for word in _NAME.findall(token)}
+                    found = not words.isdisjoint(MARKS)
                     marks, others = marks + found, others + (not found)
-    return 0 if not marks else 1 if others else 2
+                    subject = [w for w in words - MARKS - LAYOUT if len(w) > 2]
+                    sure += bool(words & MARKS - UNSURE) and not subject
+    return (0 if not marks else 1 if others else 2), not sure
+
+
+_SENTENCE = re.compile(r"\w\S*(?:\s+\S+){3,}?[.!?…。]")
+
+
+def _in_article(node: Element, tag: str) -> bool:
+    """Whether a ``tag`` element is around ``node``."""
+    while node.parent is not None:
+        node = node.parent
+        if node.tag == tag:
+            return True
+    return False
+
+
+def _has_sentences(node: Element) -> bool:
+    """Whether text of ``node``, that of links and of what is dropped aside, holds a sentence."""
+    stack: list = [node]
+    while stack:
+        words: list[str] = []
+        for child in stack.pop().children:
+            if not isinstance(child, Element):
+                words.append(child)
+            elif not child.dropped and child.tag != "a":
+                stack.append(child)
+                words.append(" ".join(t for t in child.children if isinstance(t, str)) if child.tag not in BLOCK else "")
+        if _SENTENCE.search(" ".join(words)):
+            return True
+    return False
 
 
 def _settle(root: Element) -> None:
@@ -140,6 +186,8 @@ def _settle(root: Element) -> None:
                 keep = (a + m and 2 * prose >= most) or large
             else:
                 keep = not articles and a and large
+            if not keep and node.unsure and _in_article(node, "article" if articles else "main"):
+                keep = _has_sentences(node)
             if keep:
                 tops.append(node)
             else:

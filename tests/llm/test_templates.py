@@ -87,6 +87,41 @@ def test_marks_on_wrappers(html, want):
     assert templates.text_of(templates.parse(html), set()) == want
 
 
+@pytest.mark.parametrize(
+    ("box", "kept"),
+    [
+        ("<div class='share-prices'><p>Prices rose by a tenth.</p></div>", True),
+        ("<section class='related-work'><h2>Earlier</h2><p>Others have tried it before us.</p></section>", True),
+        ("<div class='alert'><p>Do not open the lid while it runs.</p></div>", True),
+        ("<blockquote class='reply'>We have nothing to say about it, he wrote.</blockquote>", True),
+        ("<div class='menu-costs'>The set meal <b>costs ten</b> francs now.</div>", True),
+        ("<div class='share-prices'><a href=/x>Read what the prices did last week.</a></div>", False),
+        ("<div class='share-buttons'><p>Tell your friends about this page.</p></div>", False),
+        ("<div class='related-posts'><p>Another one that you may like too.</p></div>", False),
+        ("<div class='promo'><p>Buy one of our books this week.</p></div>", False),
+        ("<div class='newsletter-box x2'><p>Our letter comes on every Monday.</p></div>", False),
+        ("<section class='comments'><div class='reply'><p>I do not believe a word of it.</p></div></section>", False),
+        ("<div class='cookie-notice'><p>We use cookies on all our pages.</p></div>", False),
+        ("<div class='ad-slot'><p>Buy one of our books this week.</p></div>", False),
+        ("<div class='alert'>Careful</div>", False),
+    ],
+)
+def test_marks_inside_articles(box, kept):
+    for tag in ("article", "main"):
+        html = f"<{tag}><p>The first words of it.</p>{box}<p>The last words of it.</p></{tag}>"
+        text = templates.text_of(templates.parse(html), set())
+        assert (text.count("\n") >= 2) == kept
+    outside = f"<article><p>The first words of it.</p></article>{box}"
+    assert templates.text_of(templates.parse(outside), set()) == "The first words of it."
+
+
+def test_marked_boxes_with_sentences_go_where_they_recur(spark):
+    box = "<div class='alert'><p>Our shop is closed all week.</p></div>"
+    pages = [f"<article><p>The words of number {i} are here.</p>{box if i < 12 else ''}</article>" for i in range(20)]
+    got = extract(spark, [(f"https://a.example/{i}", p) for i, p in enumerate(pages)])
+    assert all(got[i] == f"The words of number {i} are here." for i in range(20))
+
+
 STORY = "A story of some length that many pages of the site hold again, word by word."
 
 
