@@ -33,6 +33,7 @@ from commutewell.llm.common import stored
 UNKNOWN = "und"
 TRAIN_DOCS = 1500
 TRAIN_ROWS = 200_000
+COPIED = 100_000  # languages whose sizes are copied to all executors
 WORDS = 20_000
 GRAMS = 4_000
 GRAM = 4
@@ -60,14 +61,19 @@ def grams_of(word: str, n: int) -> list[str]:
 def training_rows(docs: DataFrame, per_language: int = TRAIN_DOCS, in_all: int = TRAIN_ROWS) -> DataFrame:
     """(lang, text) of about ``per_language`` rows of each language, ``in_all`` at most, chosen by the id's hash.
 
-    The sizes, one line a language, are joined by Spark's measured size; only drawn texts could be shuffled for it.
+    The sizes, one short line a language, are copied to all executors while they are counted to be at most ``COPIED``
+    lines: a shuffle by language would move every text to a few tasks before the draw. With more languages
+    than that Spark chooses the join.
     """
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     fair = per_language if (languages := sizes.count()) * per_language <= in_all else in_all / languages
     draw = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1_000_000)) / 1_000_000
     share = sizes.select("lang", (F.lit(fair) / F.col("n")).alias("share"))
-    return labelled.select("lang", "text", draw.alias("draw")).join(share, "lang").filter("draw < share").select("lang", "text")
+    drawn = labelled.select("lang", "text", draw.alias("draw"))
+    if languages <= COPIED:
+        return drawn.join(F.broadcast(share), "lang").filter("draw < share").select("lang", "text")
+    return drawn.join(share, "lang").filter("draw < share").select("lang", "text")
 
 
 def counted(rows: DataFrame) -> DataFrame:

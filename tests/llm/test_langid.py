@@ -115,3 +115,15 @@ def test_acceptance_needs_the_model(documents):
     assert langid.accepted(docs, model, least=1.1).count() == 0
     unlabelled = documents([(i, t, None, s, n) for i, t, _, s, n in rows])
     assert langid.accepted(unlabelled, langid.train(unlabelled)).count() == 121
+
+
+def test_no_text_is_shuffled_by_language(documents):
+    plan = langid.training_rows(documents(labelled()))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_more_languages_than_are_copied_give_the_same_rows(documents, monkeypatch):
+    rows = documents([(i, f"text {i}", f"l{i % 40}", "a", 6) for i in range(400)])
+    few = sorted(map(tuple, langid.training_rows(rows, 5, 100).collect()))
+    monkeypatch.setattr(langid, "COPIED", 3)
+    assert few and sorted(map(tuple, langid.training_rows(rows, 5, 100).collect())) == few
