@@ -60,6 +60,9 @@ def land_live_mixed(lake: Lake, messages: DataFrame, layouts: Mapping[int, Layou
     return [land(activities, lake.live, f"{lake.checkpoints}/live", bounded, landing_measures(activities)), aside]
 
 
-def inject_events(lake: Lake, csv_path: str, name: str | None = None) -> str:
-    """Drop the events of a CSV file beside the live stream, each read by the contract; returns the new directory."""
-    return drop_batch(read_activity_csv(lake.spark, csv_path), lake.drops, name, files=1)
+def inject_events(lake: Lake, csv_path: str, name: str | None = None, files: int | None = None) -> str:
+    """Drop the events of a CSV file beside the live stream, each read by the contract; returns the new directory.
+
+    A large file is read in splits and every task writes its own; ``files=1`` is for a small one.
+    """
+    return drop_batch(read_activity_csv(lake.spark, csv_path), lake.drops, name, files)

@@ -10,8 +10,9 @@ from commutewell.contract import ACTIVITY, HR_HEADERS, ContractViolation
 from commutewell.functions.wire import from_json_payload
 from commutewell.plans import landing, loads, reports
 from commutewell.plans.lake import Lake, Parameters
+from commutewell.session import CLUSTER_CONF
 from commutewell.sinks.files import drop_batch
-from commutewell.sources.files import MissingInput, read_activities
+from commutewell.sources.files import MissingInput, count_files, read_activities
 from commutewell.streaming.bronze import stream_files
 
 CODEC = from_json_payload(ACTIVITY)
@@ -178,6 +179,24 @@ def test_injected_events_reach_the_facts(lake, tmp_path):
     assert rows(lake.eligibility.read(), *ELIGIBLE[:3]) == [(1, 2026, 5)]
 
 
+def test_large_injected_file_is_shared_among_tasks(lake, spark, tmp_path):
+    path = tmp_path / "events.csv"
+    with open(path, "w", encoding="utf-8", newline="") as out:
+        records = [activity(n, jour="04/05/2026", adresse_domicile=f"{n}, rue du Port") for n in range(300)]
+        csv.writer(out).writerows([ACTIVITY.names, *[["" if r[c] is None else r[c] for c in ACTIVITY.names] for r in records]])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        dropped = landing.inject_events(lake, str(path), "large")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", CLUSTER_CONF["spark.sql.files.maxPartitionBytes"])
+    assert lake.waiting(lake.drops) == ["large.parquet"]
+    assert count_files(spark, dropped) >= os.path.getsize(path) // 4096
+    assert rows(read_activities(spark, dropped), "id_salarie", "adresse_domicile") == sorted(
+        [(n, f"{n}, rue du Port") for n in range(300)], key=repr
+    )
+    assert landing.inject_events(lake, str(path), "small", files=1) and count_files(spark, f"{lake.drops}/small.parquet") == 1
+
+
 def test_audit(lake, activities, spark):
     landing.land_history(lake, messages(activities(*HISTORY)), CODEC)
     loads.load_history(lake)
